@@ -161,8 +161,9 @@ def evaluate(units: Column) -> Column:
     kind = F.col("round_kind")
 
     def advance(acc: Column, step: Column) -> Column:
-        entire = F.floor(acc).cast(T.DecimalType(17, 0))
-        fraction = (acc - entire).cast(T.DecimalType(13, 12))
+        value = acc.cast(T.DecimalType(29, 12))  # leaves room for the exact difference
+        entire = F.floor(value).cast(T.DecimalType(17, 0))
+        fraction = (value - entire).cast(T.DecimalType(13, 12))
         product = (entire * step["factor"]).cast(wide) + (fraction * step["factor"]).cast(wide)
         down = F.floor(product).cast(FOLD)
         up = F.ceil(product).cast(FOLD)
@@ -183,7 +184,8 @@ def bom_quantity(paths: DataFrame, units: Column, runs: Column | None = None) ->
     full = evaluate(checked).cast(QUANTITY)
     rest = evaluate(F.pmod(units, checked)).cast(QUANTITY)
     copies = F.call_function("div", units, checked)
-    return result.withColumn("q_copy", (full * copies.cast(T.DecimalType(13, 0)) + rest).cast(QUANTITY))
+    all_full = (full * copies.cast(T.DecimalType(13, 0))).cast(QUANTITY)
+    return result.withColumn("q_copy", (all_full + rest).cast(QUANTITY))
 
 
 def bom_cycles(edges: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from millwright.operators.numbering import number_by_key
 from millwright.operators.tags import without_tags
 from millwright.params import Params
 from millwright.schemas import WHOLE
+from millwright.session import materialize
 
 GROUP = ["part_id", "direction", "region"]
 
@@ -110,6 +111,7 @@ def _depth_by_tiers(orders: DataFrame, params: Params) -> DataFrame:
         .select(*GROUP, "price", "quantity", "n",
                 _coarse(F.col("price")).alias("price_cell"), _coarse(F.col("quantity")).alias("quantity_cell"))
     )
+    levels = materialize(levels, "levels")
     tops = levels.groupBy(*GROUP).agg(F.min(_signed(F.col("price"))).alias("_best")).select(
         *GROUP, F.abs("_best").alias("price_top"))
     qty = whole(F.col("quantity")) * F.col("n").cast("decimal(19,0)")
@@ -134,10 +136,12 @@ def _depth_by_tiers(orders: DataFrame, params: Params) -> DataFrame:
         near = F.when(F.col("direction") == "SELL", F.col("_low")).otherwise(F.col("_high"))
         far = F.when(F.col("direction") == "SELL", F.col("_high")).otherwise(F.col("_low"))
         top = F.col("price_top")
-        started = cells.where((F.col("_prior") < cap) & _believable(near, top, params))
         complete = (whole(F.col("_prior") + F.col("value")) < cap) & _believable(far, top, params)
-        settled.append(started.where(complete).select(*GROUP, "price_top", "qty", "value"))
-        cut = started.where(~complete)
+        started = materialize(
+            cells.where((F.col("_prior") < cap) & _believable(near, top, params))
+            .select(*keys, tier, "price_top", "qty", "value", "n", "_prior", complete.alias("_complete")), "cells")
+        settled.append(started.where("_complete").select(*GROUP, "price_top", "qty", "value"))
+        cut = started.where(~F.col("_complete"))
         keys = keys + [tier]
         frontier = cut.select(*keys, "price_top", F.col("_prior").alias("_offset"))
 

@@ -149,7 +149,7 @@ def product_cost_breakdown(t: Tables, produce: str, units: int, bpc_runs: int |
         cargo_share(F.col("volume"), held_short, t.params.jump_freighter_m3, 1).alias("jf"),
         F.col("price").alias("quote"), initcap(F.substring("name_region", 1, 15)).alias("region"),
         _whole_money(F.col("_value")).alias("items_tot"),
-        half_up(whole(F.col("_value") * 100), F.col("_total")).alias("pct"),
+        half_up(whole(F.col("_value") * 100), F.nullif(F.col("_total"), F.lit(Decimal(0)).cast(WHOLE))).alias("pct"),
         goods_total.alias("goods_tot"), break_total.alias("break"),
         (F.col("buy_price") * units).alias("just_buy_it"),
         half_up(goods_total, size).alias("goods_unit"),

@@ -53,3 +53,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_table_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(source: DataFrame) -> DataFrame:
+    """Deal a freshly read source out over all cores if it has fewer splits than that.
+
+    For CPU-heavy work behind a few small files; a source of many splits is left alone.
+    """
+    cores = source.sparkSession.sparkContext.defaultParallelism
+    return source.repartition(cores) if source.rdd.getNumPartitions() < cores else source

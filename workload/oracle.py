@@ -167,7 +167,7 @@ _labels = [*tag_rules.BOUGHT_ON_CONTRACT, *tag_rules.INVENTED, *tag_rules.INVENT
 CTES["print_labels"] = CTES["print_labels"].replace("{pick}", f"[{_quoted(_labels)}][p_partkey % {len(_labels)} + 1]")
 CTES["looped"] = """SELECT good_id, part_id FROM edges UNION
   SELECT part_id, good_id FROM edges WHERE edge_id % 10 = 1 AND good_id IN (SELECT part_id FROM parts WHERE p_size = 50)"""
-CTES["doc_text"] = """SELECT o_custkey AS item, o_orderstatus, o_orderdate AS cached_until,
+CTES["doc_text"] = """SELECT o_custkey AS item, o_orderstatus, timezone('UTC', timezone('Europe/London', o_orderdate)) AS cached_until,
   '<holdings><result><rowset><row locationID="' || location_id || '" typeID="' || location_type || '"><rowset><row typeID="' || item1 ||
   '" quantity="' || n1 || '"/><row typeID="' || item2 || '" quantity="' || n2 ||
   '"/></rowset></row><row locationID="1" typeID="2"/></rowset></result><cachedUntil>' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') ||
@@ -422,7 +422,7 @@ _cost_rows = """SELECT produce_id, r.label AS produce, p.label AS part, p.part_i
   JOIN parts r ON r.part_id = produce_id {rlike} LEFT JOIN {best} b ON b.part_id = m.part_id LEFT JOIN {best} x ON x.part_id = produce_id
   WHERE (b.part_id IS NOT NULL OR m.part_id NOT IN (SELECT part_id FROM sells))"""
 _tot = "sum(price*quantity) OVER (PARTITION BY produce_id)"
-O["cost_share"] = f"""SELECT produce_id, part_id, {half_up('price*quantity*100', 'total')}::BIGINT AS pct, ({half_up('total', '100000000')}*100)::BIGINT AS goods_tot
+O["cost_share"] = f"""SELECT produce_id, part_id, {half_up('price*quantity*100', 'nullif(total, 0)')}::BIGINT AS pct, ({half_up('total', '100000000')}*100)::BIGINT AS goods_tot
   FROM (SELECT *, {_tot} AS total FROM ({_cost_rows.format(q=six(fold(f'10::HUGEINT*{M12}')), rlike='', best='best_any')}))"""
 O["parse_build_list"] = """SELECT p_partkey, label, units FROM (
   SELECT p_partkey, upper(p_name) AS label, p_size::BIGINT AS units FROM part UNION ALL
@@ -483,7 +483,7 @@ _break = "(((total*10506 + 999999999999)//1000000000000)*100)::BIGINT"
 O["product_cost_breakdown"] = f"""SELECT '25x ' || {initcap('substr(produce, 1, 22)')} AS produce, {initcap('substr(part, 1, 22)')} AS part, produce_id, part_id,
   {as_double('quantity')} AS quantity, pile, {as_double(_short)} AS short, {cargo('vol_milli', _short, PARAMS.deep_transport_m3, 1)} AS dst,
   {cargo('vol_milli', _short, PARAMS.jump_freighter_m3, 1)} AS jf, price AS quote, {initcap('substr(name_region, 1, 15)')} AS region,
-  ({half_up('price*quantity', '100000000')}*100)::BIGINT AS items_tot, {half_up('price*quantity*100', 'total')}::BIGINT AS pct,
+  ({half_up('price*quantity', '100000000')}*100)::BIGINT AS items_tot, CASE WHEN total <> 0 THEN {half_up('price*quantity*100', 'nullif(total, 0)')} END::BIGINT AS pct,
   {_goods} AS goods_tot, {_break} AS break, buy_price*25 AS just_buy_it, {half_up(_goods, '25')} AS goods_unit,
   {half_up(f'{_goods}*93', '2500')} AS dsconut_seven, {half_up(_break, '25')} AS break_unit, buy_price AS just_buy_one
   FROM (SELECT *, {_tot} AS total FROM ({_cost_rows.format(q=q_copy('25', 4), rlike="AND r.label LIKE '%E%'", best='best_local')}))"""
