@@ -121,6 +121,8 @@ def product_cost_breakdown(t: Tables, produce: str, units: int, bpc_runs: int |
                            local_buy: DataFrame | None = None, local_sell: DataFrame | None = None,
                            keep_unquoted: bool = False) -> DataFrame:
     """Cost, share and shortage of every leaf input of the matching products."""
+    if units < 1:
+        raise ValueError("units must be at least 1")
     goods = t.parts.where(contains_text(F.col("label"), produce)).select(
         F.col("part_id").alias("produce_id"), F.col("label").alias("produce"))
     runs = None if bpc_runs is None else F.lit(bpc_runs).cast("bigint")
