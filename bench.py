@@ -21,7 +21,7 @@ from workload.queries import QUERIES  # noqa: E402
 HEADLINE = [
     "what_to_build", "product_cost_breakdown", "materials_for_builds", "materials_three_tier",
     "cheapest_region_for_keyword", "ore_ranking", "blueprint_pipeline", "practical_price", "part_price_listing",
-    "order_depth_average", "order_depth_hot_groups", "order_depth_exact_steps", "bom_explode", "bom_rates", "bom_copy_runs",
+    "order_depth_average", "order_depth_exact_steps", "bom_explode", "bom_rates", "bom_copy_runs",
     "product_breakeven", "xml_orders_sell", "xml_assets_nested", "price_upsert", "snapshot_replace",
     "upsert_parts", "keyword_explode", "constraint_violations", "stale_items",
 ]

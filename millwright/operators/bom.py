@@ -10,7 +10,7 @@ from millwright.functions.text import decimal_text
 from millwright.operators.tags import tag_flags
 from millwright.params import Params
 from millwright.schemas import FACTOR, FOLD, QUANTITY
-from millwright.session import materialize
+from millwright.session import materialize, new_table_path
 
 RATE = T.DecimalType(9, 7)
 EDGE_RESULT = T.DecimalType(19, 12)
@@ -100,8 +100,15 @@ def bom_explode(rates: DataFrame) -> DataFrame:
             "edge_id",
         )
     )
-    known = materialize(singles, "paths")
-    longest, span = known, 1
+    folder = new_table_path(rates.sparkSession, "paths")
+
+    def add_round(rows: DataFrame, number: int) -> DataFrame:
+        """Write one round beside the others; all of them read back as a single table."""
+        rows.write.parquet(f"{folder}/round={number}")
+        return rates.sparkSession.read.schema(f"{rows.schema.toDDL()}, round int").parquet(folder)
+
+    known = add_round(singles, 0)
+    longest, span, number = known, 1, 0
     while True:
         # a leaf cannot be extended: its rows, often all on a few very common inputs,
         # stay out of the join
@@ -120,12 +127,12 @@ def bom_explode(rates: DataFrame) -> DataFrame:
                 "edge_id",
             )
         )
-        grown = materialize(grown, "paths")
-        known = known.unionByName(grown)
+        number += 1
+        known = add_round(grown, number)
         span *= 2
-        longest = grown.where(F.col("depth") == span)
+        longest = known.where((F.col("round") == number) & (F.col("depth") == span))
         if longest.isEmpty():
-            return known
+            return known.drop("round")
 
 
 def with_labels(paths: DataFrame, parts: DataFrame) -> DataFrame:

@@ -79,7 +79,7 @@ def _depth_by_window(orders: DataFrame, params: Params) -> DataFrame:
         walked.where((F.col("_prior") < _cap(params)) & _believable(F.col("price"), F.col("price_top"), params))
         .groupBy(*GROUP)
         .agg(F.sum("quantity").alias("qty"), F.sum(F.col("price") * F.col("quantity")).alias("value"),
-             F.first("price_top").alias("price_top"))
+             F.min("price_top").alias("price_top"))
     )
     return _figures(taken, params)
 

@@ -57,33 +57,51 @@ def _missing_parent(child: DataFrame, column: str, parent: DataFrame, parent_key
     return child.where(F.col(column).isNotNull()).join(ids, column, "left_anti")
 
 
+def _row_checks(df: DataFrame, key: str, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """All rules that look at one row only, in a single pass: {rule: (violated, detail)}."""
+    broken = [
+        F.when(violated, F.struct(F.lit(rule).alias("rule"), detail.cast("string").alias("detail")))
+        for rule, (violated, detail) in rules.items()
+    ]
+    rows = df.select(F.col(key).cast("string").alias("key"), F.explode(F.array_compact(F.array(*broken))).alias("_v"))
+    return rows.select("_v.rule", "key", "_v.detail")
+
+
 def constraint_violations(parts: DataFrame, edges: DataFrame, tags: DataFrame, orders: DataFrame,
                           aggregates: DataFrame, regions: DataFrame) -> DataFrame:
-    """(rule, key, detail) for every declared NOT NULL, CHECK, UNIQUE and foreign key."""
-    checks = []
-
-    def check(df: DataFrame, rule: str, key: str, detail: Column) -> None:
-        checks.append(_rows(df, rule, F.col(key), detail))
-
-    for column in ("label", "volume", "outcome_units"):
-        check(parts.where(F.col(column).isNull()), f"part.{column} not null", "part_id", F.lit(column))
-    for column in ("good_id", "part_id", "good", "part", "quantity"):
-        check(edges.where(F.col(column).isNull()), f"edge.{column} not null", "edge_id", F.lit(column))
-    check(self_loops(edges), "edge good differs from part", "edge_id", F.col("good"))
-    check(duplicates(edges, ["good_id", "part_id"]), "edge unique", "good_id", F.col("part_id"))
+    """(rule, key, detail) for every declared NOT NULL, CHECK, UNIQUE and foreign key.
+
+    One pass per table for its row rules, one anti join per foreign key.
+    """
+    def not_null(table: str, columns: tuple[str, ...]) -> dict[str, tuple[Column, Column]]:
+        return {f"{table}.{c} not null": (F.col(c).isNull(), F.lit(c)) for c in columns}
+
+    def side(table: str) -> dict[str, tuple[Column, Column]]:
+        return {f"{table} direction": (~F.col("direction").isin("BUY", "SELL"), F.col("direction"))}
+
+    def positive(table: str, columns: tuple[str, ...]) -> dict[str, tuple[Column, Column]]:
+        return {f"{table}.{c} positive": (F.col(c) <= 0, F.col(c)) for c in columns}
+
+    checks = [
+        _row_checks(parts, "part_id", not_null("part", ("label", "volume", "outcome_units"))),
+        _row_checks(edges, "edge_id", {
+            **not_null("edge", ("good_id", "part_id", "good", "part", "quantity")),
+            "edge good differs from part": (F.col("good") == F.col("part"), F.col("good"))}),
+        _row_checks(orders, "part_id", {**side("order"), **positive("order", ("price", "quantity", "min_qty"))}),
+        _row_checks(aggregates, "part_id", {**side("aggregate"), **positive("aggregate", ("price_average",))}),
+        _rows(duplicates(edges, ["good_id", "part_id"]), "edge unique", F.col("good_id"), F.col("part_id")),
+        _rows(duplicates(tags, ["part_id", "keyword"]), "tag unique", F.col("part_id"), F.col("keyword")),
+        _rows(_missing_parent(tags, "part_id", parts, "part_id"), "tag.part_id in catalogue",
+              F.col("part_id"), F.col("keyword")),
+    ]
     for column in ("good_id", "part_id"):
-        check(_missing_parent(edges, column, parts, "part_id"), f"edge.{column} in catalogue", "edge_id", F.col(column))
-    check(duplicates(tags, ["part_id", "keyword"]), "tag unique", "part_id", F.col("keyword"))
-    check(_missing_parent(tags, "part_id", parts, "part_id"), "tag.part_id in catalogue", "part_id", F.col("keyword"))
-    sides = ["BUY", "SELL"]
+        checks.append(_rows(_missing_parent(edges, column, parts, "part_id"), f"edge.{column} in catalogue",
+                            F.col("edge_id"), F.col(column)))
     for name, df in (("order", orders), ("aggregate", aggregates)):
-        check(df.where(~F.col("direction").isin(sides)), f"{name} direction", "part_id", F.col("direction"))
-        check(_missing_parent(df, "part_id", parts, "part_id"), f"{name}.part_id in catalogue", "part_id", F.col("direction"))
-        check(_missing_parent(df, "region", regions, "region"), f"{name}.region known", "part_id", F.col("region"))
-    for column in ("price", "quantity", "min_qty"):
-        check(orders.where(F.col(column) <= 0), f"order.{column} positive", "part_id", F.col(column))
-    check(aggregates.where(F.col("price_average") <= 0), "aggregate.price_average positive", "part_id",
-          F.col("price_average"))
+        checks.append(_rows(_missing_parent(df, "part_id", parts, "part_id"), f"{name}.part_id in catalogue",
+                            F.col("part_id"), F.col("direction")))
+        checks.append(_rows(_missing_parent(df, "region", regions, "region"), f"{name}.region known",
+                            F.col("part_id"), F.col("region")))
     return reduce(DataFrame.unionByName, checks)
 
 

@@ -119,10 +119,14 @@ _SNAPSHOTS: dict[tuple[str, str], Tables] = {}
 
 
 def build_snapshot(spark: SparkSession, sf_dir: str) -> Tables:
-    """The stored layer under the reports: aggregates and exploded paths, both written."""
-    aggregates = materialize(order_depth_average(orders(spark, sf_dir), PARAMS), "aggregates")
-    return Tables(parts(spark, sf_dir), edges(spark, sf_dir), tags(spark, sf_dir), regions(spark, sf_dir),
-                  aggregates, params=PARAMS).refresh()
+    """The stored layer the reports read: catalogue, tags, aggregates and exploded paths."""
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        return materialize(df, name)
+
+    return Tables(
+        stored("parts", parts(spark, sf_dir)), stored("edges", edges(spark, sf_dir)),
+        stored("tags", tags(spark, sf_dir)), regions(spark, sf_dir),
+        stored("aggregates", order_depth_average(orders(spark, sf_dir), PARAMS)), params=PARAMS).refresh()
 
 
 def snapshot(spark: SparkSession, sf_dir: str) -> Tables:

@@ -384,7 +384,7 @@ O["order_depth_hot_groups"] = "SELECT * FROM aggregates"
 O["order_depth_exact_steps"] = f"""SELECT part_id, direction, region, samples::BIGINT AS samples, top AS price_top, average::BIGINT AS price_average FROM steps
   WHERE direction = 'BUY' OR average*samples > {PARAMS.notable_supply}
   QUALIFY row_number() OVER (PARTITION BY part_id, direction, region ORDER BY rn DESC) = 1"""
-O["econ_region_sell"] = "SELECT part_id, region, price AS price_average FROM best_local"
+O["econ_region"] = "SELECT part_id, region, price AS price_average FROM best_local"
 O["econ_region_buy"] = """SELECT part_id, region, price_average FROM aggregates WHERE direction = 'BUY'
   QUALIFY row_number() OVER (PARTITION BY part_id ORDER BY price_average DESC, region) = 1"""
 O["local_semi"] = "SELECT * FROM aggregates WHERE region IN (SELECT region FROM local)"
@@ -431,14 +431,15 @@ O["parse_build_list"] = """SELECT p_partkey, label, units FROM (
 O["build_units_of_lists"] = "SELECT item::BIGINT AS part_id, units::BIGINT AS units FROM list_units WHERE item IN (SELECT part_id FROM parts)"
 _cents = "round(p_retailprice*100)::BIGINT"
 _low = f"({_cents}*7//9)"
-O["scalar_functions"] = f"""SELECT part_id,
-  CASE WHEN pile IS NULL THEN NULL WHEN pile % 7 = 0 THEN 0.0::DOUBLE ELSE {half_up('pile*1000', '(pile % 7)')} / 1e1 END AS per_cent,
-  {initcap(READABLE.format(x="(label || '-' || parts.p_brand)"))} AS readable_ore,
-  {half_up(f'{_cents}::HUGEINT*1000000*10506', 'units*10000')}::BIGINT AS break_micro,
-  ({_cents} + {_low})*100 + ({_cents} - {_low})*35 AS adjusted_offer_x200,
-  {cargo('vol_milli', 'pile::HUGEINT*1000000', 71500, 2)} AS cargo_share,
-  CASE WHEN pile IS NOT NULL AND external_id IS NOT NULL THEN greatest(pile, external_id) END AS greatest,
-  {_cents} AS cents FROM parts JOIN part ON p_partkey = part_id"""
+O["per_cent"] = f"""SELECT part_id, CASE WHEN pile IS NULL THEN NULL WHEN pile % 7 = 0 THEN 0.0::DOUBLE
+    ELSE {half_up_signed('((pile - 250)*1000)', '(nullif(pile % 7, 0))')}::BIGINT / 1e1 END AS per_cent,
+  CASE WHEN pile IS NOT NULL AND external_id IS NOT NULL THEN greatest(pile, external_id) END AS greatest FROM parts"""
+O["readable_ore"] = f"""SELECT part_id, {initcap(READABLE.format(x="(label || '-' || p_brand)"))} AS readable_ore FROM parts"""
+O["breakeven"] = f"""SELECT part_id, {half_up(f'{_cents}::HUGEINT*1000000*10506', 'units*10000')}::BIGINT AS break_micro
+  FROM parts JOIN part ON p_partkey = part_id"""
+O["adjusted_offer"] = f"""SELECT p_partkey AS part_id, ({_cents} + {_low})*100 + ({_cents} - {_low})*35 AS adjusted_offer_x200, {_cents} AS cents FROM part"""
+O["cargo_share"] = f"SELECT part_id, {cargo('vol_milli', 'pile::HUGEINT*1000000', 71500, 2)} AS cargo_share FROM parts"
+O["ore_value_index"] = f"SELECT DISTINCT ore AS label_ore, (sum({VALUE}) OVER (PARTITION BY good_id))::BIGINT AS value_index FROM ({YIELD})"
 O["zone_shift"] = """SELECT o_orderkey, timezone('Asia/Tokyo', timezone('Europe/London', o_orderdate + to_hours((o_orderkey % 24)::INT))) AS host_time FROM orders"""
 O["cache_ttl"] = """SELECT o_orderkey, o_orderdate + to_seconds(o_custkey % 60) + to_hours(((o_orderkey + o_custkey % 60) % 5 + 4)::INT) AS cached_until FROM orders"""
 

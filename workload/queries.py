@@ -428,7 +428,7 @@ def order_depth_exact_steps(spark, d):
 
 
 @query
-def econ_region_sell(spark, d):
+def econ_region(spark, d):
     t = a.snapshot(spark, d)
     return market.econ_region(t.aggregates, "SELL", _local(t))
 
@@ -565,6 +565,13 @@ def ore_value(spark, d):
     return materials.ore_value(materials.ore_yields(a.snapshot(spark, d), Decimal(1000)))
 
 
+@query
+def ore_value_index(spark, d):
+    """The sum per ore shown on each of its rows, then distinct."""
+    yields = materials.ore_yields(a.snapshot(spark, d), Decimal(1000))
+    return yields.join(materials.ore_value(yields), "good_id").select("label_ore", "value_index").distinct()
+
+
 @query
 def cost_share(spark, d):
     return manufacture.cost_share(a.snapshot(spark, d), None, 10)
@@ -588,24 +595,45 @@ def build_units_of_lists(spark, d):
     return build_units(t, _lists(t))
 
 
+def _priced_parts(spark, d):
+    """Every part with a price in cents and a second one two ninths lower."""
+    prices = a.read(spark, d, "part").select(
+        F.col("p_partkey").alias("part_id"), "p_brand", F.round(F.col("p_retailprice") * 100).cast("bigint").alias("cents"))
+    return a.parts(spark, d).join(prices, "part_id").withColumn(
+        "low", F.call_function("div", F.col("cents") * 7, F.lit(9).cast("bigint")))
+
+
 @query
-def scalar_functions(spark, d):
-    """Percent, ore names, title case, breakeven, adjusted offer, cargo share on every part."""
-    rows = a.parts(spark, d).join(
-        a.read(spark, d, "part").select(F.col("p_partkey").alias("part_id"), "p_retailprice", "p_brand"), "part_id")
-    cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
-    low = F.call_function("div", cents * 7, F.lit(9).cast("bigint"))
-    return rows.select(
-        "part_id",
-        numbers.per_cent_exact(F.col("pile"), F.col("pile") % 7, 1).alias("per_cent"),
-        text.initcap(text.readable_ore(F.concat("label", F.lit("-"), "p_brand"))).alias("readable_ore"),
-        numbers.breakeven_micro(numbers.micro(cents.cast("decimal(24,6)")), F.col("outcome_units"),
-                                Decimal("1.03"), Decimal("1.02")).alias("break_micro"),
-        numbers.adjusted_offer_x200(cents, low, 35).alias("adjusted_offer_x200"),
-        numbers.cargo_share(F.col("volume"), F.col("pile").cast("decimal(24,6)"), 71_500, 2).alias("cargo_share"),
-        numbers.greatest_or_null(F.col("pile"), F.col("external_id")).alias("greatest"),
-        numbers.to_cents(numbers.money(cents)).alias("cents"),
-    )
+def per_cent(spark, d):
+    return _priced_parts(spark, d).select(
+        "part_id", numbers.per_cent_exact(F.col("pile") - 250, F.col("pile") % 7, 1).alias("per_cent"),
+        numbers.greatest_or_null(F.col("pile"), F.col("external_id")).alias("greatest"))
+
+
+@query
+def readable_ore(spark, d):
+    ore = text.readable_ore(F.concat("label", F.lit("-"), "p_brand"))
+    return _priced_parts(spark, d).select("part_id", text.initcap(ore).alias("readable_ore"))
+
+
+@query
+def breakeven(spark, d):
+    cost = numbers.micro(F.col("cents").cast("decimal(24,6)"))
+    brk = numbers.breakeven_micro(cost, F.col("outcome_units"), a.PARAMS.build_cost_multiplier, a.PARAMS.sales_cost_multiplier)
+    return _priced_parts(spark, d).select("part_id", brk.alias("break_micro"))
+
+
+@query
+def adjusted_offer(spark, d):
+    return _priced_parts(spark, d).select(
+        "part_id", numbers.adjusted_offer_x200(F.col("cents"), F.col("low"), 35).alias("adjusted_offer_x200"),
+        numbers.to_cents(numbers.money(F.col("cents"))).alias("cents"))
+
+
+@query
+def cargo_share(spark, d):
+    share = numbers.cargo_share(F.col("volume"), F.col("pile").cast("decimal(24,6)"), a.PARAMS.deep_transport_m3, 2)
+    return _priced_parts(spark, d).select("part_id", share.alias("cargo_share"))
 
 
 @query
