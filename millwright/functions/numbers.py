@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millwright.schemas import QUANTITY, WHOLE
 
@@ -100,3 +101,8 @@ def to_cents(amount: Column) -> Column:
 def value_micro(price: Column, quantity: Column) -> Column:
     """Price (cents) x quantity in millionths of a cent: 13 + 24 + 1 = 38 digits, exact."""
     return (price.cast(T.DecimalType(13, 0)) * quantity.cast(QUANTITY)).cast(T.DecimalType(38, 6))
+
+
+def present(df: DataFrame, money_columns: Sequence[str]) -> DataFrame:
+    """The rows with the named cent columns shown as two-decimal amounts."""
+    return df.withColumns({c: money(F.col(c)) for c in money_columns})

@@ -178,7 +178,8 @@ def order_depth_average(orders: DataFrame, params: Params = Params(), exact_step
 
     A cheap count first tells whether any group is too large for one sorted task; only then
     is the plan split, by group size, between the window and the tiered cut. Nothing is
-    dropped or sampled either way. ``exact_steps`` rounds the running average to cents after
+    dropped or sampled either way. The orders are read once for the count and once for the
+    figures, so pass a stored table rather than unparsed documents. ``exact_steps`` rounds the running average to cents after
     every order instead.
     """
     if exact_steps:
@@ -186,6 +187,7 @@ def order_depth_average(orders: DataFrame, params: Params = Params(), exact_step
     hot = hot_groups(orders, params)
     if hot.isEmpty():
         return _depth_by_window(orders, params)
+    hot = materialize(hot, "hot-groups")
     cold = orders.join(hot, GROUP, "left_anti")
     return _depth_by_window(cold, params).unionByName(
         _depth_by_tiers(orders.join(hot, GROUP, "left_semi"), params))

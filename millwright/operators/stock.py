@@ -48,7 +48,7 @@ def stock(assets: DataFrame, parts: DataFrame, holders: Sequence[Holder], home_l
     if mode not in ("last", "sum"):
         raise ValueError("mode must be 'last' or 'sum'")
     counted = counted_assets(assets, holders[-1:] if mode == "last" else holders, home_location, ship_types)
-    totals = counted.groupBy(F.col("item_type").cast("bigint").alias("external_id")).agg(
+    totals = counted.groupBy(F.col("item_type").try_cast("bigint").alias("external_id")).agg(
         F.sum("quantity").alias("_held"))
     return (
         parts.where(F.col("external_id").isNotNull()).select("part_id", "external_id")

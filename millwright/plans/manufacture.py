@@ -16,6 +16,7 @@ from millwright.operators.market import in_local
 from millwright.operators.tags import with_tag, without_tags
 from millwright.plans.tables import Tables, best_offers, with_best_offer
 from millwright.schemas import QUANTITY, WHOLE
+from millwright.session import materialize
 
 
 def buildable_products(t: Tables, produce: str | None = None, keyword: str | None = None) -> DataFrame:
@@ -34,10 +35,16 @@ def product_breakeven(t: Tables, produce: str | None = None, keyword: str | None
     goods = buildable_products(t, produce, keyword).select(
         F.col("part_id").alias("produce_id"), F.col("label").alias("produce"), "outcome_units")
     offers = best_offers(t, local_buy).where(F.col("econ_region").isNotNull()).select("part_id", "price")
-    costs = (
+    # paths are folded and summed per input before prices come in, so the step arrays
+    # meet one shuffle at most and the next one carries two ids and a number
+    need = (
         leaf_paths(t.paths).select("produce_id", "part_id", "steps", "round_kind")
-        .join(goods, "produce_id").join(offers, "part_id")
-        .withColumn("_value", value_micro(F.col("price"), evaluate(F.col("outcome_units"))))
+        .join(goods, "produce_id")
+        .withColumn("_need", evaluate(F.col("outcome_units")).cast(QUANTITY))
+        .groupBy("produce_id", "produce", "outcome_units", "part_id").agg(F.sum("_need").cast(QUANTITY).alias("_need"))
+    )
+    costs = (
+        need.join(offers, "part_id").withColumn("_value", value_micro(F.col("price"), F.col("_need")))
         .groupBy("produce_id", "produce", "outcome_units").agg(F.sum("_value").alias("_value"))
     )
     total = breakeven_micro(micro(F.col("_value")), F.col("outcome_units"),
@@ -88,21 +95,18 @@ def what_to_build(t: Tables, produce: str | None = None, keyword: str | None = N
     hub = F.col("mid_spread_hub") * 1_000_000
     margin = per_cent_exact(greatest_or_null(asked, hub) - brk, brk, 1)
     unrounded = (greatest_or_null(asked, hub) - brk).cast("double") / brk
-    return (
-        rows.withColumn("_order", unrounded)
-        .select(
-            initcap(F.col("produce")).alias("produce"), initcap(F.col("name_region")).alias("region"),
-            "sells", "lowest_offer", "offers_low_range", "buys", "highest_bid", "bids_high_range",
-            ((F.col("lowest_offer") + F.col("highest_bid")).cast("decimal(19,0)") * F.lit(Decimal("0.5"))).alias("mid_spread"),
-            F.lit(adjust).alias("adj"),
-            (asked_x200.cast("decimal(19,0)") * F.lit(Decimal("0.005"))).alias("my_adjusted_offer"),
-            F.col("mid_spread_hub").alias("mid_spread_jita"),
-            from_micro(brk).alias("break"),
-            (F.col("buys") * F.col("bids_high_range")).alias("demand"),
-            margin.alias("margin"), "_order",
-        )
-        .orderBy(F.desc_nulls_first("_order"), "produce", "region")
-        .drop("_order")
+    # sorted before the display columns are made: the sort's sampling pass skips those
+    ordered = rows.orderBy(unrounded.desc_nulls_first(), "produce", "name_region")
+    return ordered.select(
+        initcap(F.col("produce")).alias("produce"), initcap(F.col("name_region")).alias("region"),
+        "sells", "lowest_offer", "offers_low_range", "buys", "highest_bid", "bids_high_range",
+        ((F.col("lowest_offer") + F.col("highest_bid")).cast("decimal(19,0)") * F.lit(Decimal("0.5"))).alias("mid_spread"),
+        F.lit(adjust).alias("adj"),
+        (asked_x200.cast("decimal(19,0)") * F.lit(Decimal("0.005"))).alias("my_adjusted_offer"),
+        F.col("mid_spread_hub").alias("mid_spread_jita"),
+        from_micro(brk).alias("break"),
+        (F.col("buys") * F.col("bids_high_range")).alias("demand"),
+        margin.alias("margin"),
     )
 
 
@@ -133,9 +137,12 @@ def product_cost_breakdown(t: Tables, produce: str, units: int, bpc_runs: int |
     )
     rows = with_best_offer(need, t, local_buy, keep_unquoted).withColumn(
         "_value", micro(value_micro(F.col("price"), F.col("quantity"))))
+    # used twice, for the totals and for the rows: written once instead of folded twice
+    rows = materialize(rows, "cost-rows")
     totals = rows.groupBy("produce_id").agg(F.sum("_value").cast(WHOLE).alias("_total"))
     finished = buy_it_price(t, local_sell).withColumnRenamed("part_id", "produce_id")
-    rows = rows.join(totals, "produce_id").join(finished, "produce_id", "left")
+    rows = rows.join(totals, "produce_id").join(finished, "produce_id", "left").withColumn(
+        "items_tot", _whole_money(F.col("_value")))
 
     held_short = F.when(F.col("quantity") - F.col("pile") > 0, (F.col("quantity") - F.col("pile")).cast(QUANTITY))
     factor = Decimal(int(t.params.build_cost_multiplier * 100) * int(t.params.sales_cost_multiplier * 100))
@@ -143,14 +150,15 @@ def product_cost_breakdown(t: Tables, produce: str, units: int, bpc_runs: int |
     break_total = div(whole(whole(F.col("_total") * F.lit(factor)) + step - 1), step) * 100
     goods_total = _whole_money(F.col("_total"))
     size = F.lit(units).cast("bigint")
-    return rows.select(
+    ordered = rows.orderBy("produce", F.desc_nulls_first("items_tot"), "part", "produce_id", "part_id")
+    return ordered.select(
         F.concat(F.lit(f"{units}x "), initcap(F.substring("produce", 1, 22))).alias("produce"),
         initcap(F.substring("part", 1, 22)).alias("part"),
         "produce_id", "part_id", "quantity", "pile", held_short.alias("short"),
         cargo_share(F.col("volume"), held_short, t.params.deep_transport_m3, 1).alias("dst"),
         cargo_share(F.col("volume"), held_short, t.params.jump_freighter_m3, 1).alias("jf"),
         F.col("price").alias("quote"), initcap(F.substring("name_region", 1, 15)).alias("region"),
-        _whole_money(F.col("_value")).alias("items_tot"),
+        "items_tot",
         half_up(whole(F.col("_value") * 100), F.nullif(F.col("_total"), F.lit(Decimal(0)).cast(WHOLE))).alias("pct"),
         goods_total.alias("goods_tot"), break_total.alias("break"),
         (F.col("buy_price") * units).alias("just_buy_it"),
@@ -158,7 +166,7 @@ def product_cost_breakdown(t: Tables, produce: str, units: int, bpc_runs: int |
         half_up(goods_total * 93, size * 100).alias("dsconut_seven"),
         half_up(break_total, size).alias("break_unit"),
         F.col("buy_price").alias("just_buy_one"),
-    ).orderBy("produce", F.desc_nulls_first("items_tot"), "part", "produce_id", "part_id")
+    )
 
 
 def cost_share(t: Tables, produce: str | None, units: int) -> DataFrame:

@@ -14,6 +14,7 @@ from millwright.operators.bom import bom_quantity, evaluate
 from millwright.operators.tags import has_keyword, with_tag, without_tags
 from millwright.plans.tables import Tables, best_offers, build_units, with_best_offer
 from millwright.schemas import QUANTITY, WHOLE
+from millwright.session import materialize
 
 WIDE_MONEY = "decimal(38,6)"
 
@@ -83,7 +84,10 @@ def _stocked_and_priced(demand: DataFrame, t: Tables, local: DataFrame | None, s
     items = demand.join(t.parts.select("part_id", "label", "volume", "pile"), "part_id")
     rows = with_best_offer(items, t, local, keep_unquoted).withColumn(
         "short", _shortage(F.col("quantity"), F.col("pile")))
-    return rows.where(F.col("quantity") - F.col("pile") > 0) if short_only else rows
+    if short_only:
+        rows = rows.where(F.col("quantity") - F.col("pile") > 0)
+    # at most one row per item, read three times: for the rows and for both grand totals
+    return materialize(rows, "material-rows")
 
 
 def grand_total(rows: DataFrame, value: Column) -> Column:
@@ -191,7 +195,7 @@ def ore_value(yields: DataFrame) -> DataFrame:
 
 def ore_ranking(t: Tables, yield_m3: Decimal, sell_region: str | None = None) -> DataFrame:
     """Ores by the value of their minerals for a fixed volume."""
-    yields = ore_yields(t, yield_m3, sell_region)
+    yields = materialize(ore_yields(t, yield_m3, sell_region), "ore-yields")
     return (
         yields.join(ore_value(yields), "good_id")
         .select(

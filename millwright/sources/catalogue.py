@@ -51,7 +51,8 @@ def parse_catalogue(lines: DataFrame, columns: tuple[FileColumn, ...]) -> tuple[
     fields are ignored; a field that is too long or not of its type rejects the line, as
     does a missing required field. Blank lines are neither."""
     text = ", ".join(f"{c.name} STRING" for c in columns)
-    options = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
+    options = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE",
+               "escape": '"'}
     split = lines.where(F.length(F.trim("line")) > 0).withColumn("_f", F.from_csv("line", text, options))
     bad = F.lit(False)
     typed = []

@@ -568,7 +568,7 @@ def ore_value(spark, d):
 @query
 def ore_value_index(spark, d):
     """The sum per ore shown on each of its rows, then distinct."""
-    yields = materials.ore_yields(a.snapshot(spark, d), Decimal(1000))
+    yields = materialize(materials.ore_yields(a.snapshot(spark, d), Decimal(1000)), "ore-yields")
     return yields.join(materials.ore_value(yields), "good_id").select("label_ore", "value_index").distinct()
 
 
