@@ -182,23 +182,43 @@ def order_depth_average(orders: DataFrame, params: Params = Params(), exact_step
     figures, so pass a stored table rather than unparsed documents. ``exact_steps`` rounds the running average to cents after
     every order instead.
     """
-    if exact_steps:
-        return _depth_by_steps(orders, params)
+    plain = _depth_by_steps if exact_steps else _depth_by_window
     hot = hot_groups(orders, params)
     if hot.isEmpty():
-        return _depth_by_window(orders, params)
+        return plain(orders, params)
     hot = materialize(hot, "hot-groups")
     cold = orders.join(hot, GROUP, "left_anti")
-    return _depth_by_window(cold, params).unionByName(
-        _depth_by_tiers(orders.join(hot, GROUP, "left_semi"), params))
+    large = orders.join(hot, GROUP, "left_semi")
+    if exact_steps:
+        return plain(cold.unionByName(_before_any_stop(large, params)), params)
+    return plain(cold, params).unionByName(_depth_by_tiers(large, params))
+
+
+def _before_any_stop(orders: DataFrame, params: Params) -> DataFrame:
+    """The orders of large groups without the price buckets that lie behind the cut for sure.
+
+    Before a bucket, n orders of U units and value V were walked. Each rounding moved the
+    running value by at most half a cent per unit held, so it is at least V - n * U / 2; once
+    that reaches the cap, the walk has ended. Works on bucket totals only.
+    """
+    placed = orders.withColumn("_cell", _coarse(F.col("price")))
+    wide = F.col("quantity").cast("decimal(19,0)") * F.col("price").cast("decimal(19,0)")
+    cells = placed.groupBy(*GROUP, "_cell").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col("quantity").cast("decimal(19,0)")).alias("_units"),
+        F.sum(wide).alias("_value"))
+    before = Window.partitionBy(*GROUP).orderBy(_signed(F.col("_cell"))).rowsBetween(Window.unboundedPreceding, -1)
+    n, units, value = (whole(F.coalesce(F.sum(c).over(before), F.lit(0))) for c in ("_n", "_units", "_value"))
+    sums = cells.select(*GROUP, "_cell", n.cast("decimal(18,0)").alias("_n"), units.cast("decimal(19,0)").alias("_units"), value.alias("_value"))
+    kept = sums.where(whole(F.col("_value") * 2) - F.col("_n") * F.col("_units") < _cap(params) * 2)
+    return placed.join(kept.select(*GROUP, "_cell"), [*GROUP, "_cell"], "left_semi").select(*orders.columns)
 
 
 def _depth_by_steps(orders: DataFrame, params: Params) -> DataFrame:
     """The running average rounded to cents at every order.
 
     Rounding at each order makes this sequential within a group. Orders that no amount of
-    rounding drift can bring back before the cut are removed first, by windows; what is left
-    streams through the task in price order, holding a single row of state.
+    rounding drift can bring back before the cut are removed first; what is left streams
+    through the task in price order, holding a single row of state.
     """
     in_order = Window.partitionBy(*GROUP).orderBy("_rank", "quantity")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)

@@ -95,7 +95,7 @@ def assign_new_ids(target: DataFrame, source: DataFrame, keys: Sequence[str], id
     return known.unionByName(fresh)
 
 
-# --- the reference upserts, one function per target -----------------------------------
+# --- one upsert per target table -----------------------------------
 
 PART_UPDATES = ["external_id", "volume", "material_efficiency", "outcome_units",
                 "base_invent_success", "base_invent_copies"]

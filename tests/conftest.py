@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("checkpoints"))
     session = build_session(
         "tests", "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": folder,
+        **{"spark.sql.shuffle.partitions": "2", "spark.default.parallelism": "2", "spark.checkpoint.dir": folder,
            "spark.sql.warehouse.dir": folder + "/warehouse", "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

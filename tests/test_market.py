@@ -74,14 +74,21 @@ def test_wide_price_range_crosses_buckets(spark):
         assert sorted(rows_of(market.order_depth_average(orders_of(spark, book), params.but(hot_group_rows=hot)))) == expected
 
 
-@pytest.mark.parametrize("seed", [11, 12])
-def test_exact_steps(spark, seed):
+@pytest.mark.parametrize("seed,hot", [(11, 1_000_000), (12, 0), (13, 20)])
+def test_exact_steps(spark, seed, hot):
     book = random_book(seed)
-    params = SMALL.but(supply_depth=40_000, demand_depth=40_000)
+    params = SMALL.but(supply_depth=40_000, demand_depth=40_000, hot_group_rows=hot)
     got = rows_of(market.order_depth_average(orders_of(spark, book), params, exact_steps=True))
     assert sorted(got) == by_hand(book, params, exact_steps=True)
 
 
+def test_large_groups_are_cut_before_the_walk(spark):
+    book = orders_of(spark, [(1, "SELL", 1, p, 10) for p in range(100_000, 101_000)])
+    params = SMALL.but(supply_depth=30_000_000)
+    kept = market._before_any_stop(book, params)
+    assert 30 <= kept.count() < 200
+
+
 def test_step_rounding_drift_is_bounded(spark):
     book = random_book(21)
     free = Params(supply_depth=10**12, demand_depth=10**12, notable_supply=0, spread_overshoot=10**6)
