@@ -136,7 +136,7 @@ def _token_bytes(raw: bytes) -> dict[int, bytes]:
 
 
 def encode(docs: DataFrame, ranks_file: str, pattern: str, id_column: str = "doc_id", text: str = "text",
-           cached_words: int = 300_000) -> DataFrame:
+           cached_words: int = 100_000) -> DataFrame:
     """(id, n_tokens, ids): ids as little-endian unsigned 32-bit integers, one row per input row."""
     with open(ranks_file, "rb") as f:
         raw = docs.sparkSession.sparkContext.broadcast(f.read())

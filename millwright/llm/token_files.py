@@ -169,7 +169,7 @@ def _encoder(definition: str, end_id: int, most: int) -> Encoder:
 
 
 def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = 0, id_column: str = "doc_id",
-          text: str = "text", file_bytes: int = 8 << 20, cached_words: int = 300_000) -> DataFrame:
+          text: str = "text", file_bytes: int = 8 << 20, cached_words: int = 150_000) -> DataFrame:
     """Write all documents in ascending order of id; returns the list of files (name, n_docs, n_tokens), stored."""
     shared_files.make_folder(folder)
     with open(tokenizer_file, encoding="utf-8") as f:
