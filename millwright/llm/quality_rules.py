@@ -20,13 +20,9 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-SPACE = "\t\n\x0b\f\r"
-SYMBOLS = "#*$%&|<>"
-
-
 def words(text: Column) -> Column:
     """Maximal runs of characters that are not white space (ASCII)."""
-    return F.filter(F.split(F.translate(text, SPACE, " " * len(SPACE)), " ", -1), lambda w: w != "")
+    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+", -1), "")
 
 
 def let(value: Column, body) -> Column:
@@ -34,10 +30,19 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def repeated_words(hashes: Column, width: int = 8) -> Column:
-    """Words in windows of ``width`` found twice or more, by the hashes of all words."""
-    n = F.size(hashes) - width + 1
-    windows = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(hashes, i, width)))
+def neighbours(hashes: Column, apart: int) -> Column:
+    """Hash of each element with the one ``apart`` places on; the last ``apart`` results mean nothing."""
+    return F.zip_with(hashes, F.slice(hashes, F.lit(apart + 1), F.size(hashes)), lambda x, y: F.xxhash64(x, y))
+
+
+def first(values: Column, n: Column) -> Column:
+    return F.slice(values, F.lit(1), F.greatest(n, F.lit(0)))
+
+
+def repeated_words(pairs: Column) -> Column:
+    """Words in windows of 8 found twice or more, by ``neighbours`` of all words; windows are hashed by doubling."""
+    width, n = 8, F.size(pairs) - 7
+    windows = let(neighbours(pairs, 2), lambda fours: first(neighbours(fours, 4), F.size(fours) - 7))
 
     def covered(starts: Column) -> Column:
         reach = F.transform(starts, lambda p, k: F.when(
@@ -55,36 +60,37 @@ def repeated_words(hashes: Column, width: int = 8) -> Column:
     return F.when(n < 2, 0).otherwise(let(windows, count)).cast("long")
 
 
-def ngrams(hashes: Column, buckets: int) -> Column:
-    """Buckets of all words and all pairs of neighbours."""
-    one = F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
-    two = F.transform(F.slice(hashes, 2, F.greatest(F.size(hashes), F.lit(1))),
-                      lambda h, i: F.pmod(F.xxhash64(F.get(hashes, i), h), F.lit(buckets)).cast("int"))
-    return F.concat(one, two)
+def ngrams(hashes: Column, pairs: Column) -> Column:
+    """Hashes of all words and all pairs of neighbours."""
+    return F.concat(hashes, first(pairs, F.size(hashes) - 1))
 
 
-def _hashed(docs: DataFrame, id_column: str) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col(id_column).alias("_id"), text.alias("_t"))
+def bucket(h: Column, buckets: int) -> Column:
+    """The lowest bits; ``buckets`` is a power of two."""
+    return h.bitwiseAND(F.lit(buckets - 1).cast("long")).cast("int")
 
 
-def _word_hashes() -> Column:
-    return F.transform(words(F.col("_t")), lambda w: F.xxhash64(w))
+def _texts(docs: DataFrame, id_column: str) -> DataFrame:
+    return docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_t"))
 
 
-def _counts(texts: DataFrame, buckets: int) -> dict[int, int]:
-    """Occurrences by bucket; at most ``buckets`` rows."""
-    grams = texts.select(F.explode(let(_word_hashes(), lambda h: ngrams(h, buckets))).alias("b"))
-    return {b: n for b, n in grams.groupBy("b").count().collect()}
+def _hashes(found: Column) -> Column:
+    return F.transform(found, lambda w: F.xxhash64(w))
 
 
 def ratios(docs: DataFrame, trusted: DataFrame, buckets: int, smooth: float, id_column: str = "doc_id") -> list[float]:
-    """The log ratio of each bucket. ``trusted`` has the ids of the target; ids are compared, not texts."""
-    raw = _counts(_hashed(docs, id_column), buckets)
-    ids = trusted.select(F.col(id_column).alias("_id")).where("_id is not null").distinct()
-    target = _counts(_hashed(docs, id_column).join(ids, "_id", "left_semi"), buckets)
-    scale = sum(target.values()) / max(1, sum(raw.values()))
-    return [math.log((target.get(b, 0) + smooth) / (raw.get(b, 0) * scale + smooth)) for b in range(buckets)]
+    """The log ratio of each bucket. ``trusted`` has the ids of the target; ids are compared, not texts.
+
+    Both corpora are counted in one pass: at most ``buckets`` rows per task, and for the driver."""
+    ids = trusted.select(F.col(id_column).alias("_id")).where("_id is not null").distinct().withColumn("_trusted", F.lit(1))
+    grams = (_texts(docs, id_column).join(ids, "_id", "left")
+             .select("_trusted", F.explode(let(_hashes(words(F.col("_t"))), lambda h: ngrams(h, neighbours(h, 1)))).alias("h"))
+             .select("_trusted", bucket(F.col("h"), buckets).alias("b")))
+    raw, target = [0] * buckets, [0] * buckets
+    for b, n, m in grams.groupBy("b").agg(F.count(F.lit(1)), F.count("_trusted")).collect():
+        raw[b], target[b] = n, m
+    scale = sum(target) / max(1, sum(raw))
+    return [math.log((m + smooth) / (n * scale + smooth)) for n, m in zip(raw, target)]
 
 
 def judge(docs: DataFrame, trusted: DataFrame, buckets: int = 1 << 16, smooth: float = 5.0, least: float = -0.25,
@@ -95,22 +101,22 @@ def judge(docs: DataFrame, trusted: DataFrame, buckets: int = 1 << 16, smooth: f
     """
     table = ratios(docs, trusted, buckets, smooth, id_column)
     ratio = F.col("_ratio")
-    lines = F.filter(F.split("_t", "\n", -1), lambda x: F.translate(x, " " + SPACE, "") != "")
-    without = lambda chars: F.length(F.translate("_t", chars, ""))
+    lines = F.filter(F.split("_t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    score = lambda g: F.aggregate(
+        g, F.lit(0.0), lambda s, x: s + F.get(ratio, bucket(x, buckets)), lambda s: F.when(F.size(g) > 0, s / F.size(g)).otherwise(0.0))
+    measures = lambda w: let(_hashes(w), lambda h: let(neighbours(h, 1), lambda p: F.struct(
+        F.size(h).alias("n_words"), F.length(F.array_join(w, "")).alias("word_chars"), repeated_words(p).alias("n_repeat_words"),
+        let(ngrams(h, p), score).alias("score"))))
     measured = (
         docs.select(F.col(id_column).alias("_id"), *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
                     F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_t"),
                     docs.sparkSession.createDataFrame([(table,)], "r array<double>").scalar().alias("_ratio"))
-        .withColumn("_m", let(_word_hashes(), lambda h: F.struct(
-            F.size(h).alias("n_words"), repeated_words(h).alias("n_repeat_words"),
-            let(ngrams(h, buckets), lambda g: F.aggregate(
-                g, F.lit(0.0), lambda s, b: s + F.element_at(ratio, b + 1), lambda s: F.when(F.size(g) > 0, s / F.size(g)).otherwise(0.0))
-                ).alias("score")))))
+        .withColumn("_m", let(words(F.col("_t")), measures)))
     n, repeats = F.col("_m.n_words").cast("long"), F.col("_m.n_repeat_words")
     failed = (n < 20) | (100 * repeats > 30 * n)
     return measured.select(
-        F.col("_id").alias(id_column), n.alias("n_words"), without(" " + SPACE).cast("long").alias("word_chars"),
-        (F.length("_t") - without(SYMBOLS)).cast("long").alias("n_symbols"),
+        F.col("_id").alias(id_column), n.alias("n_words"), F.col("_m.word_chars").cast("long").alias("word_chars"),
+        F.regexp_count("_t", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeats.alias("n_repeat_words"), failed.alias("base_failed"), F.col("_m.score").alias("score"),
         (~failed & (F.col("_m.score") >= least)).alias("kept"), *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)])
