@@ -196,8 +196,9 @@ def link(docs: DataFrame, id_column: str = "doc_id", width: int = 4, percent: in
     split = in_comps.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1").select("bucket")
     rest = materialize(in_comps.join(split, "bucket", "left_semi").select("cid", "comp").distinct(), "minhash-rest")
     more = _prefix_links(rest.join(sets, "cid"), sets, percent)
-    links = materialize(links.unionByName(more), "minhash-links")
-    comps = components(links)
+    more = materialize(more, "minhash-links")
+    if not more.isEmpty():
+        comps = components(links.unionByName(more))
 
     final = (classes.select("cid", "label").join(comps, "cid", "left").select("cid", "label", F.coalesce("comp", "cid").alias("comp")))
     named = comps.join(wanted.select("cid", "label"), "cid").groupBy("comp").agg(F.min("label").alias("component"))
@@ -219,14 +220,16 @@ def _prefix_links(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rest = rest.withColumn("frequency", rest.sparkSession.createDataFrame([(counts,)], "f array<int>").scalar())
     ranked = F.array_sort(F.transform("hashes", lambda h: F.struct(F.element_at(frequency, place(h) + 1).alias("f"), h.alias("h"))))
     length = F.expr(f"n - cast(ceil({percent} * n / 100.0) as bigint) + 1").cast("int")
-    prefix = rest.select("cid", "comp", "n", F.explode(F.slice(ranked, F.lit(1), length)).alias("r")).select("cid", "comp", "n", "r.h")
+    prefix = rest.select("cid", "comp", "n", F.posexplode(F.slice(ranked, F.lit(1), length)).alias("at", "r")).select("cid", "comp", "n", "at", "r.h")
     prefix = materialize(prefix, "minhash-prefix")
     # of each shingle the largest component is the one the others are compared with; pairs inside it are never made
     by_comp = prefix.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
     main = by_comp.groupBy("h").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("c", "comp"))["comp"].alias("main")).where("comps > 1")
     posted = materialize(prefix.join(main.select("h", "main"), "h"), "minhash-posted")
     left, right = posted.where("comp != main").alias("l"), posted.alias("r")
+    # at their first shared shingle, two sets can share no more than what follows it in either
+    reach = F.expr(f"(100 + {percent}) * least(l.n - l.at, r.n - r.at) >= {percent} * (l.n + r.n)")
     pairs = left.join(right, F.expr("l.h = r.h and l.comp != r.comp and (r.comp = r.main or l.cid < r.cid)")
-                      & _sizes_allow("l.n", "r.n", percent))
+                      & _sizes_allow("l.n", "r.n", percent) & reach)
     pairs = pairs.select(F.least("l.cid", "r.cid").alias("a"), F.greatest("l.cid", "r.cid").alias("b")).distinct()
     return _confirmed(pairs, sets, percent)
