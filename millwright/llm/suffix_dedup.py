@@ -248,7 +248,7 @@ def _by_windows(strings: DataFrame) -> DataFrame:
                 columns = zip(*out) if out else ([],) * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], schema=kind)
 
-    windows = materialize(strings.select("a", "rid", "lo", "span", "n", "string").mapInArrow(run, schema), "dedup-windows")
+    windows = materialize(strings.select("a", "rid", "lo", "span", "n", "string").repartition("rid").mapInArrow(run, schema), "dedup-windows")
     repeated = windows.groupBy("a", "w").agg(F.sum("n").alias("all")).where("all > 1").select("a", "w")
     return (windows.where("n = 1").join(repeated, ["a", "w"], "left_semi")
             .select("rid", F.col("p").alias("s"), (F.col("p") + WIDTH).alias("e")))
