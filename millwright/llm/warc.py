@@ -6,8 +6,8 @@ is a gzip member of its own, so a reader can start at any of them.
 
 Reading: every member is decompressed and checked (gzip checksum), every record is checked
 (version line, headers, block length, closing blank lines, block digest). Where a check fails,
-the reader searches for the next gzip member that decompresses, or the next version line at the
-start of a line, goes on from there, and reports the bytes between as a gap with the reason.
+the reader searches for the next gzip member that decompresses, or the next version line, goes on
+from there, and reports the bytes between as a gap with the reason.
 
 Archives are read by Spark's binary reader, a whole file per row, so files should stay of the
 order of ``file_bytes``; what ``write`` makes does.
@@ -116,7 +116,7 @@ def _plain(data: memoryview, base: int | None) -> Iterator[tuple]:
             at = end
         except Damaged as why:
             raw = bytes(data) if raw is None else raw
-            found = next((m.start() for m in VERSION_LINE.finditer(raw, at + 1) if raw[m.start() - 1] == 10), len(raw))
+            found = next((m.start() for m in VERSION_LINE.finditer(raw, at + 1)), len(raw))
             yield "gap", at if base is None else base, found - at, str(why)
             at = found
 
@@ -174,7 +174,7 @@ def salvage(content: bytes) -> Iterator[tuple]:
 
 
 def _next_version(content: bytes, start: int) -> int:
-    return next((m.start() for m in VERSION_LINE.finditer(content, start) if m.start() == 0 or content[m.start() - 1] == 10), -1)
+    return next((m.start() for m in VERSION_LINE.finditer(content, start)), -1)
 
 
 def with_roles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
