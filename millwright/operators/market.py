@@ -30,6 +30,26 @@ def relevant_orders(quotes: DataFrame, now: datetime, security: Decimal, params:
 # --- depth-limited average ------------------------------------------------------------
 
 
+def _acceptable() -> Column:
+    keys = F.col("part_id").isNotNull() & F.col("region").isNotNull() & F.col("direction").isin("SELL", "BUY")
+    return F.coalesce(keys & (F.col("price") > 0) & (F.col("quantity") > 0), F.lit(False))
+
+
+def valid_orders(orders: DataFrame) -> DataFrame:
+    """Orders with all group keys, a known direction, and a price and quantity above zero."""
+    return orders.where(_acceptable())
+
+
+def rejected_orders(orders: DataFrame) -> DataFrame:
+    """The orders no price is made of: the complement of ``valid_orders``."""
+    return orders.where(~_acceptable())
+
+
+def _worth() -> Column:
+    """Price times quantity, wide enough for any two longs that make sense together."""
+    return whole(F.col("price").cast("decimal(19,0)") * F.col("quantity").cast("decimal(19,0)"))
+
+
 def _signed(price: Column) -> Column:
     """Sort key that puts the best price first: low for SELL, high for BUY."""
     return F.when(F.col("direction") == "SELL", price).otherwise(-price)
@@ -73,12 +93,12 @@ def _depth_by_window(orders: DataFrame, params: Params) -> DataFrame:
     walked = orders.select(*GROUP, "price", "quantity", _signed(F.col("price")).alias("_rank")).select(
         "*",
         F.first("price").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("price_top"),
-        F.coalesce(F.sum(F.least(F.col("price") * F.col("quantity"), _cap(params))).over(before), F.lit(0)).alias("_prior"),
+        F.coalesce(F.sum(F.least(_worth(), whole(_cap(params))).cast("bigint")).over(before), F.lit(0)).alias("_prior"),
     )
     taken = (
         walked.where((F.col("_prior") < _cap(params)) & _believable(F.col("price"), F.col("price_top"), params))
         .groupBy(*GROUP)
-        .agg(F.sum("quantity").alias("qty"), F.sum(F.col("price") * F.col("quantity")).alias("value"),
+        .agg(F.sum(F.col("quantity").cast("decimal(19,0)")).cast(WHOLE).alias("qty"), F.sum(_worth()).cast(WHOLE).alias("value"),
              F.min("price_top").alias("price_top"))
     )
     return _figures(taken, params)
@@ -176,13 +196,15 @@ def order_depth_average(orders: DataFrame, params: Params = Params(), exact_step
     value reaches the depth cap. Emits samples (quantity), price_top and price_average, the
     average as an exact ratio rounded once. SELL groups below the notable value are left out.
 
-    A cheap count first tells whether any group is too large for one sorted task; only then
-    is the plan split, by group size, between the window and the tiered cut. Nothing is
-    dropped or sampled either way. The orders are read once for the count and once for the
+    Only ``valid_orders`` take part, whatever the size of their group; the others are what
+    ``rejected_orders`` returns. A cheap count first tells whether any group is too large for one
+    sorted task; only then is the plan split, by group size, between the window and the tiered cut,
+    which use the same arithmetic and agree. The orders are read once for the count and once for the
     figures, so pass a stored table rather than unparsed documents. ``exact_steps`` rounds the running average to cents after
     every order instead.
     """
     plain = _depth_by_steps if exact_steps else _depth_by_window
+    orders = valid_orders(orders)
     hot = hot_groups(orders, params)
     if hot.isEmpty():
         return plain(orders, params)
@@ -226,7 +248,7 @@ def _depth_by_steps(orders: DataFrame, params: Params) -> DataFrame:
     walked = orders.select(*GROUP, "price", "quantity", _signed(F.col("price")).alias("_rank")).select(
         "*",
         F.first("price").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("price_top"),
-        F.coalesce(F.sum(F.least(F.col("price") * F.col("quantity"), cap * 2)).over(before), F.lit(0)).alias("_prior"),
+        F.coalesce(F.sum(F.least(_worth(), whole(cap * 2)).cast("bigint")).over(before), F.lit(0)).alias("_prior"),
         F.sum("quantity").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("_units"),
     )
     # each step adds at most half a cent per unit held so far to the running value

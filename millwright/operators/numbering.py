@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millwright.session import materialize
+
 BUCKETS = 4096
 
 
@@ -29,15 +31,11 @@ def _number_in_buckets(df: DataFrame, bucket: Column, order: list[str], out: str
 def number_by_key(df: DataFrame, key: str, out: str, start: int = 1) -> DataFrame:
     """Number rows in ascending order of a unique integer key.
 
-    Equal-width key ranges: a range holds at most (max - min) / BUCKETS + 1 rows, because
-    the key is unique.
+    Ranges come from a sample of the keys, so an outlier does not leave all other rows in one
+    range. Rows are stored with the range they were dealt to, as ranges are not drawn twice alike.
     """
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    if low is None:
-        return df.withColumn(out, F.lit(None).cast("bigint"))
-    width = (high - low) // BUCKETS + 1
-    bucket = F.call_function("div", F.col(key) - F.lit(low), F.lit(width))
-    return _number_in_buckets(df, bucket, [key], out, start)
+    dealt = materialize(df.repartitionByRange(key).withColumn("_range", F.spark_partition_id()), "key-ranges")
+    return _number_in_buckets(dealt, F.col("_range"), [key], out, start).drop("_range")
 
 
 def number_by_hash(df: DataFrame, keys: list[str], out: str, start: int = 1) -> DataFrame:

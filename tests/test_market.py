@@ -132,3 +132,28 @@ def test_stale_items(spark):
     got = market.stale_items(parts, tags, cache, datetime(2015, 1, 1), per_batch=2)
     assert [(r.part_id, r.item_no, r.batch) for r in got.orderBy("item_no").collect()] == [
         (1, 1, 1), (6, 2, 1), (7, 3, 2), (8, 4, 2), (9, 5, 3), (10, 6, 3), (11, 7, 4)]
+
+
+@pytest.mark.parametrize("exact_steps", [False, True])
+def test_group_size_never_changes_a_result(spark, exact_steps):
+    """Missing, zero, negative and huge values: the same rows under every limit, and none lost."""
+    huge = 4 * 10**15
+    book = [
+        (1, "SELL", 1, None, 10), (1, "SELL", 1, 10, 10), (1, "SELL", 1, 12, 10), (2, "SELL", 1, -5, 10), (2, "SELL", 1, 5, 10),
+        (3, "BUY", 1, 7, 0), (3, "BUY", 1, 9, None), (3, "BUY", 1, 8, 4), (4, "SELL", 1, huge, huge), (4, "SELL", 1, huge + 1, 3),
+        (5, None, 1, 3, 3), (None, "BUY", 1, 3, 3), (5, "BUY", None, 3, 3), (6, "SELL", 1, 4, 0), (6, "LEND", 1, 4, 2)]
+    params = Params(supply_depth=10**9, demand_depth=10**9, notable_supply=0)
+    orders = orders_of(spark, book)
+    results = [sorted(rows_of(market.order_depth_average(orders, params.but(hot_group_rows=n), exact_steps=exact_steps))) for n in (0, 1, 2, 10**6)]
+    assert all(r == results[0] for r in results)
+    assert (1, "SELL", 1, 20, 10, 11) in results[0] and (2, "SELL", 1, 10, 5, 5) in results[0] and (3, "BUY", 1, 4, 8, 8) in results[0]
+    assert market.rejected_orders(orders).count() + market.valid_orders(orders).count() == len(book)
+    assert market.rejected_orders(orders).count() == 9
+
+
+def test_row_numbers_with_an_outlier(spark):
+    from millwright.operators.numbering import number_by_key
+
+    ids = [*range(2000), 10**12]
+    numbered = number_by_key(spark.createDataFrame([(i,) for i in ids], "k long").repartition(3), "k", "n")
+    assert [(r["k"], r["n"]) for r in numbered.orderBy("k").collect()] == [(k, i + 1) for i, k in enumerate(ids)]
