@@ -106,7 +106,10 @@ class Model:
 
 
 def train(model: Model, x: np.ndarray, y: np.ndarray, hidden: int = 32, steps: int = 600, rate: float = 0.01) -> Model:
-    """Adam on the cross-entropy with weight decay; every fifth example is held back for the temperature."""
+    """Adam on the cross-entropy; every fifth example is held back for the temperature.
+
+    Weights have a normal prior of variance 1, so the decay is one over the number of examples: few examples move them little.
+    """
     if len(y) < 10 or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2)
         model.second_bias, model.second = float(np.log(share / (1 - share))), model.second * 0
@@ -120,11 +123,12 @@ def train(model: Model, x: np.ndarray, y: np.ndarray, hidden: int = 32, steps: i
     w2, b2 = rng.normal(0, 1 / np.sqrt(hidden), hidden), np.zeros(1)
     values = [w1, b1, w2, b2]
     moments = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
+    decay = 1 / len(ty)
     for step in range(1, steps + 1):
         h = np.tanh(z @ w1 + b1)
         wrong = (1 / (1 + np.exp(-np.clip(h @ w2 + b2, -50, 50))) - ty) / len(ty)
         back = np.outer(wrong, w2) * (1 - h * h)
-        slopes = [z.T @ back + 1e-4 * w1, back.sum(0), h.T @ wrong + 1e-4 * w2, wrong.sum(keepdims=True)]
+        slopes = [z.T @ back + decay * w1, back.sum(0), h.T @ wrong + decay * w2, wrong.sum(keepdims=True)]
         for v, s, (m, q) in zip(values, slopes, moments):
             m += 0.1 * (s - m)
             q += 0.001 * (s * s - q)
