@@ -85,6 +85,13 @@ def keep_latest(docs: DataFrame, key: str, version: str) -> DataFrame:
     return best.select(key, *[F.col(f"_best.{c}").alias(c) for c in docs.columns if c != key])
 
 
+def newest(docs: DataFrame, key: str, version: str) -> DataFrame:
+    """One document per key: ``keep_latest``, and of equal versions, or without any, the greatest row."""
+    if version not in docs.columns:
+        docs = docs.withColumn(version, F.lit(0))
+    return keep_latest(docs, key, version)
+
+
 def assign_new_ids(target: DataFrame, source: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
     """Source rows with the target's id where the key is known, and fresh ids beyond the
     target's highest where it is not."""

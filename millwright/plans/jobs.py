@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millwright.operators.bom import bom_cycles
 from millwright.operators.market import order_depth_average, relevant_orders
-from millwright.operators.merge import replace_snapshot, upsert_edges, upsert_parts, upsert_prices
+from millwright.operators.merge import newest, replace_snapshot, upsert_edges, upsert_parts, upsert_prices
 from millwright.operators.quality import load_violations
 from millwright.operators.stock import HAULER_TYPES, Holder, known_assets, stock, upsert_stock
 from millwright.operators.tags import TagRule, add_tags, apply_rules, explode_keywords
@@ -19,7 +19,7 @@ from millwright.params import Params
 from millwright.schemas import ORDER
 from millwright.session import materialize
 from millwright.sources.catalogue import staging_filter
-from millwright.sources.documents import parse_assets, parse_orders
+from millwright.sources.documents import ASSETS, ORDER_BOOK, accepted, parse_assets, parse_orders, rejected
 
 
 class LoadRefused(ValueError):
@@ -27,7 +27,7 @@ class LoadRefused(ValueError):
 
     def __init__(self, violations: DataFrame):
         shown = "; ".join(f"{r.rule}: {r.key} ({r.detail})" for r in violations.limit(10).collect())
-        super().__init__(f"load refused: {shown}")
+        super().__init__(f"load refused, {violations.count()} violations, among them {shown}")
         self.violations = violations
 
 
@@ -71,11 +71,13 @@ class Market:
 
 
 def refresh_market(current: Market, docs: DataFrame, parts: DataFrame, now: datetime, security: Decimal,
-                   params: Params = Params()) -> Market:
-    """Fresh order-book documents (item_type_id, xdoc) into orders and aggregates.
+                   params: Params = Params(), version: str = "cached_until") -> Market:
+    """Fresh order-book documents (item_type_id, xdoc, ``version`` if there are several of an item) into orders and aggregates.
 
-    All orders of a refreshed item are replaced; only refreshed items are priced again.
+    All orders of a refreshed item are replaced by those of its newest document; only refreshed items are priced again.
+    Refused documents (``sources.documents.rejected``) refresh nothing: their items keep what they had.
     """
+    docs = materialize(newest(accepted(docs, ORDER_BOOK), "item_type_id", version), "books")
     items = parts.where(F.col("external_id").isNotNull()).select(
         F.col("external_id").alias("item_type_id"), "part_id")
     stamp = F.lit(now).cast("timestamp_ntz").alias("time_quotes_exec")
@@ -90,7 +92,19 @@ def refresh_market(current: Market, docs: DataFrame, parts: DataFrame, now: date
 
 
 def refresh_stock(parts: DataFrame, docs: DataFrame, holders: Sequence[Holder], home_location: str,
-                  ship_types: Sequence[str] = HAULER_TYPES, mode: str = "last") -> DataFrame:
-    """Holdings documents (holder, xdoc) into the parts' stock."""
+                  ship_types: Sequence[str] = HAULER_TYPES, mode: str = "last", version: str = "cached_until") -> DataFrame:
+    """Holdings documents (holder, xdoc, ``version`` if there are several of a holder) into the parts' stock.
+
+    The newest document of a holder counts. A holder of whom all documents are refused loads nothing: the holder before
+    stands, and a sum over all, or a load without any other holder, leaves the stock as it is.
+    """
+    good = newest(accepted(docs, ASSETS), "holder", version)
+    refused = rejected(docs, ASSETS).select("holder").join(good.select("holder"), "holder", "left_anti")
+    # at most one row per named holder
+    names = {r.holder for r in refused.where(F.col("holder").isin([h.name for h in holders])).distinct().collect()}
+    left = [h for h in holders if h.name not in names]
+    if names and (mode == "sum" or not left):
+        return parts
+    docs, holders = good, left
     assets = known_assets(parse_assets(docs), parts)
     return materialize(upsert_stock(parts, stock(assets, parts, holders, home_location, ship_types, mode)), "parts")

@@ -1,4 +1,8 @@
-"""XML documents as rows."""
+"""XML documents as rows.
+
+A document that is missing or not well-formed, or an order book with a price that is no amount, is refused as a whole: the
+parsers give no row for it, ``rejected`` returns it with the reason, ``accepted`` the others.
+"""
 
 from __future__ import annotations
 
@@ -18,12 +22,43 @@ JOBS = ("cachedUntil string, result struct<rowset:struct<row:array<struct<_jobID
         "_licensedRuns:bigint,_probability:string,_productTypeID:string,_productTypeName:string,_endDate:string>>>>")
 
 
+_BROKEN = "_corrupt_record"
+_SIDES = ("sell_orders", "buy_orders")
+
+
+def opened(docs: DataFrame, kind: str, xml: str = "xdoc") -> DataFrame:
+    """Adds ``_doc``, the document as a struct of ``kind``, and ``_fault``, why it is refused, else null."""
+    fault = F.when(F.col(xml).isNull(), "no document").when(
+        F.col("_doc").isNull() | F.col(f"_doc.{_BROKEN}").isNotNull(), "not well-formed")
+    if kind == ORDER_BOOK:
+        none = F.array().cast("array<string>")
+        prices = F.concat(*[F.coalesce(F.col(f"_doc.{side}.order.price"), none) for side in _SIDES])
+        fault = fault.when(F.exists(prices, lambda p: p.try_cast("decimal(17,2)").isNull()), "unreadable price")
+    doc = F.from_xml(F.col(xml), f"{kind}, {_BROKEN} string", {"columnNameOfCorruptRecord": _BROKEN})
+    return docs.withColumn("_doc", doc).withColumn("_fault", fault)
+
+
+def accepted(docs: DataFrame, kind: str, xml: str = "xdoc") -> DataFrame:
+    """The documents that can be loaded."""
+    return opened(docs, kind, xml).where("_fault is null").drop("_doc", "_fault")
+
+
+def rejected(docs: DataFrame, kind: str, xml: str = "xdoc") -> DataFrame:
+    """The documents that are refused, with ``reason``."""
+    return opened(docs, kind, xml).where("_fault is not null").withColumnRenamed("_fault", "reason").drop("_doc")
+
+
+def _loaded(rows: Column | str) -> Column:
+    """Rows of a document that is not refused."""
+    return F.when(F.col("_fault").isNull(), F.col(rows) if isinstance(rows, str) else rows)
+
+
 def parse_orders(docs: DataFrame, key: str = "item_type_id", xml: str = "xdoc") -> DataFrame:
     """One row per quoted order, both sides of the book from one parse."""
-    book = docs.select(key, F.from_xml(F.col(xml), ORDER_BOOK).alias("_book"))
+    book = opened(docs, ORDER_BOOK, xml)
 
     def side(field: str, direction: str) -> Column:
-        rows = F.transform(f"_book.{field}.order", lambda o: F.struct(F.lit(direction).alias("direction"), o.alias("o")))
+        rows = F.transform(_loaded(f"_doc.{field}.order"), lambda o: F.struct(F.lit(direction).alias("direction"), o.alias("o")))
         return F.coalesce(rows, F.expr(f"cast(array() as array<struct<direction:string,o:{_ORDER}>>)"))
 
     rows = book.select(key, F.inline(F.concat(side("sell_orders", "SELL"), side("buy_orders", "BUY"))))
@@ -37,8 +72,7 @@ def parse_orders(docs: DataFrame, key: str = "item_type_id", xml: str = "xdoc")
 
 def parse_assets(docs: DataFrame, holder: str = "holder", xml: str = "xdoc") -> DataFrame:
     """Items one level inside a place or ship; places without contents give no row."""
-    outer = docs.select(F.col(holder).alias("holder"),
-                        F.explode(F.from_xml(F.col(xml), ASSETS)["result"]["rowset"]["row"]).alias("_place"))
+    outer = opened(docs, ASSETS, xml).select(F.col(holder).alias("holder"), F.explode(_loaded("_doc.result.rowset.row")).alias("_place"))
     inner = outer.select("holder", F.col("_place._locationID").alias("location_id"),
                          F.col("_place._typeID").alias("location_type"),
                          F.explode("_place.rowset.row").alias("_item"))
@@ -48,7 +82,7 @@ def parse_assets(docs: DataFrame, holder: str = "holder", xml: str = "xdoc") ->
 
 def parse_jobs(docs: DataFrame, zone: str = "UTC", activity: int = 8, xml: str = "xdoc") -> DataFrame:
     """Running jobs of one activity (8 = invention), end times in ``zone``."""
-    rows = docs.select(F.explode(F.from_xml(F.col(xml), JOBS)["result"]["rowset"]["row"]).alias("j"))
+    rows = opened(docs, JOBS, xml).select(F.explode(_loaded("_doc.result.rowset.row")).alias("j"))
     return rows.where(F.col("j._activityID") == activity).select(
         F.col("j._jobID").alias("job_id"), F.col("j._installerName").alias("installer_name"),
         F.col("j._activityID").alias("activity_id"), F.col("j._blueprintID").alias("blueprint_id"),

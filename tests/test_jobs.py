@@ -85,3 +85,28 @@ def test_stock_refresh(spark):
     docs = spark.createDataFrame([("corp", doc)], "holder string, xdoc string")
     assert refresh_stock(parts, docs, [Holder("corp", "corp")], "60").first().pile == 5
     assert refresh_stock(parts, docs, [Holder("corp", "corp")], "61").first().pile == 0
+
+
+def test_bad_documents_change_nothing(spark):
+    parts = parts_of(spark, [(1, "A", {"external_id": 34, "pile": 7}), (2, "B", {"external_id": 35})])
+    market = Market(spark.createDataFrame([], ORDER), spark.createDataFrame([], AGGREGATE))
+
+    def refresh(market, rows):
+        docs = spark.createDataFrame(rows, "item_type_id bigint, cached_until int, xdoc string")
+        return refresh_market(market, docs, parts, datetime(2015, 3, 1), Decimal("0.5"), Params(notable_supply=0))
+
+    # of two documents of an item the newer one counts
+    market = refresh(market, [(34, 2, book([(1, "10.00", 5)])), (34, 1, book([(1, "9.00", 5), (2, "9.00", 5)])), (35, 1, book([(1, "2.00", 1)]))])
+    expected = {(1, 1, 1000), (2, 1, 200)}
+    assert {(r.part_id, r.region, r.price) for r in market.orders.collect()} == expected
+    market = refresh(market, [(34, 3, book([(1, "10.00", 5)])[:-20]), (35, 3, book([(1, "1,000.00", 5), (1, "6.00", 1)]))])
+    assert {(r.part_id, r.region, r.price) for r in market.orders.collect()} == expected
+
+    doc = ('<api><result><rowset><row locationID="60" typeID="27"><rowset><row typeID="34" quantity="5"/></rowset></row>'
+           "</rowset></result></api>")
+    holders = [Holder("first", "corp"), Holder("second", "corp")]
+    piles = lambda rows, mode="last": {r.part_id: r.pile for r in refresh_stock(
+        parts, spark.createDataFrame(rows, "holder string, xdoc string"), holders, "60", mode=mode).collect()}
+    assert piles([("first", doc[:-9]), ("second", doc[:-9])]) == {1: 7, 2: 0}
+    assert piles([("first", doc), ("second", doc[:-9])]) == {1: 5, 2: 0}
+    assert piles([("first", doc), ("second", doc[:-9])], "sum") == {1: 7, 2: 0}

@@ -171,6 +171,14 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "</buy_orders></quicklook>").alias("xdoc"))
 
 
+def order_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per item, with all its orders."""
+    side = lambda tag: F.concat_ws("", F.collect_list(F.regexp_extract("xdoc", f"<{tag}>(.*)</{tag}>", 1)))
+    books = order_docs(spark, sf_dir).groupBy("item_type_id").agg(side("sell_orders").alias("sells"), side("buy_orders").alias("buys"))
+    return books.select("item_type_id", _concat(
+        "<quicklook><sell_orders>", F.col("sells"), "</sell_orders><buy_orders>", F.col("buys"), "</buy_orders></quicklook>").alias("xdoc"))
+
+
 HOLDERS = {"BUILDING": "corp", "MACHINERY": "char"}
 HOME_LOCATION = "60000003"
 

@@ -446,13 +446,22 @@ def local_semi(spark, d):
 
 @query
 def orders_stream(spark, d):
-    """Documents landed as files, streamed into order and price tables."""
-    landed = new_table_path(spark, "landed")
-    a.order_docs(spark, d).write.parquet(landed)
-    docs = spark.readStream.schema("item_type_id bigint, xdoc string").option("maxFilesPerTrigger", 1_000_000).parquet(landed)
+    """Documents landed as files, streamed into order and price tables.
+
+    Every item comes in two batches; the second one holds an older, the right and a truncated document of it. The older
+    documents are cheaper, so every group they price is priced again and no figure of theirs may stay.
+    """
+    landed, folder = new_table_path(spark, "landed"), new_table_path(spark, "stream")
+    books = materialize(a.order_books(spark, d), "books")
+    cheaper, cut = F.regexp_replace("xdoc", r"<price>(\d+)\d\.", "<price>$1."), F.expr("left(xdoc, length(xdoc) - 20)")
+    first = books.select("item_type_id", F.lit(1).alias("version"), cheaper.alias("xdoc"))
+    second = books.select("item_type_id", F.inline(F.array(*[
+        F.struct(F.lit(v).alias("version"), x.alias("xdoc")) for v, x in ((2, cheaper), (3, F.col("xdoc")), (4, cut))])))
     items = a.parts(spark, d).select(F.col("part_id").alias("item_type_id"), "part_id")
-    folder = new_table_path(spark, "stream")
-    order_stream.refresh_prices(docs, items, folder, lambda: NOW, SECURITY, a.PARAMS).awaitTermination()
+    for batch in (first, second):
+        batch.write.mode("append").parquet(landed)
+        docs = spark.readStream.schema(batch.schema).parquet(landed)
+        order_stream.refresh_prices(docs, items, folder, lambda: NOW, SECURITY, a.PARAMS, version="version").awaitTermination()
     return order_stream.current_aggregates(spark, folder).drop("time_quotes_exec")
 
 
