@@ -81,30 +81,11 @@ def _notable(figures: DataFrame, params: Params) -> DataFrame:
     return figures.where((F.col("direction") == "BUY") | (worth > F.lit(Decimal(params.notable_supply))))
 
 
-def _depth_by_window(orders: DataFrame, params: Params) -> DataFrame:
-    """One shuffle on the group key: running value, cut, sum.
-
-    Stops are prefix-closed because rows are in price order, so a filter equals the stop.
-    Equal prices go by quantity; what still ties is interchangeable. Values are clamped to
-    the cap inside the running sum: that cannot move the cut, and keeps it within a long.
-    """
-    in_order = Window.partitionBy(*GROUP).orderBy("_rank", "quantity")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    walked = orders.select(*GROUP, "price", "quantity", _signed(F.col("price")).alias("_rank")).select(
-        "*",
-        F.first("price").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("price_top"),
-        F.coalesce(F.sum(F.least(_worth(), whole(_cap(params))).cast("bigint")).over(before), F.lit(0)).alias("_prior"),
-    )
-    taken = (
-        walked.where((F.col("_prior") < _cap(params)) & _believable(F.col("price"), F.col("price_top"), params))
-        .groupBy(*GROUP)
-        .agg(F.sum(F.col("quantity").cast("decimal(19,0)")).cast(WHOLE).alias("qty"), F.sum(_worth()).cast(WHOLE).alias("value"),
-             F.min("price_top").alias("price_top"))
-    )
-    return _figures(taken, params)
+LEADING_BITS = 12
 
 
-LEADING_BITS = 12
+def _bits(col: Column) -> Column:
+    return F.length(F.bin(col))
 
 
 def _coarse(col: Column) -> Column:
@@ -112,81 +93,95 @@ def _coarse(col: Column) -> Column:
 
     At most 2^11 buckets per power of two, and a bucket spans at most 1/2^11 of its values.
     """
-    bits = F.length(F.bin(col))
-    shift = F.greatest(bits - LEADING_BITS, F.lit(0))
+    shift = F.greatest(_bits(col) - LEADING_BITS, F.lit(0))
     return F.call_function("shiftleft", F.call_function("shiftright", col, shift), shift)
 
 
-def _depth_by_tiers(orders: DataFrame, params: Params) -> DataFrame:
-    """The same figures for groups too large to sort in one task.
+def _levels(orders: DataFrame) -> DataFrame:
+    """Orders counted per (group, price, quantity), with map-side combine; equal ones are interchangeable."""
+    return materialize(orders.groupBy(*GROUP, "price", "quantity").agg(F.count(F.lit(1)).alias("n")), "levels")
 
-    Orders are first counted per (group, price, quantity), with map-side combine. The cut is
-    then narrowed in four steps: price bucket, price, quantity bucket, quantity. Each step
-    sums whole cells, keeps the cells that lie before the cut, and goes into the single cell
-    the cut falls in. A window never sees more than one cell's sub-cells, whose number
-    depends on the number format and not on the number of orders.
-    """
-    levels = (
-        orders.groupBy(*GROUP, "price", "quantity").agg(F.count(F.lit(1)).alias("n"))
-        .select(*GROUP, "price", "quantity", "n",
-                _coarse(F.col("price")).alias("price_cell"), _coarse(F.col("quantity")).alias("quantity_cell"))
-    )
-    levels = materialize(levels, "levels")
-    tops = levels.groupBy(*GROUP).agg(F.min(_signed(F.col("price"))).alias("_best")).select(
-        *GROUP, F.abs("_best").alias("price_top"))
+
+def _bounds() -> list[Column]:
+    return [F.count(F.lit(1)).alias("_levels"), F.min("price").alias("_low"), F.max("price").alias("_high"),
+            F.min("quantity").alias("_least"), F.max("quantity").alias("_most")]
+
+
+def _sums() -> list[Column]:
     qty = whole(F.col("quantity")) * F.col("n").cast("decimal(19,0)")
+    return [F.sum(whole(qty)).cast(WHOLE).alias("qty"),
+            F.sum(whole(whole(qty) * F.col("price").cast("decimal(19,0)"))).cast(WHOLE).alias("value")]
+
+
+def _near() -> Column:
+    return F.when(F.col("direction") == "SELL", F.col("_low")).otherwise(F.col("_high"))
+
+
+def _groups(levels: DataFrame) -> DataFrame:
+    """One row per group: its levels, their bounds and the best price; the cell every cut is looked for in first."""
+    return materialize(levels.groupBy(*GROUP).agg(*_bounds()).withColumn("price_top", _near())
+                       .withColumn("_offset", F.lit(Decimal(0)).cast(WHOLE)), "groups")
+
+
+def _cut(cells: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+    """Cells before the cut, and the one cell per group the cut falls in, with the value before it."""
     cap = _cap(params).cast(WHOLE)
+    before = Window.partitionBy(*GROUP).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = cells.withColumn("_prior", whole(F.col("_offset") + F.coalesce(F.sum("value").over(before), F.lit(Decimal(0)))))
+    started = materialize(placed.where(F.col("_prior") < cap).withColumn("_complete", whole(F.col("_prior") + F.col("value")) < cap), "cells")
+    cut = started.where(~F.col("_complete")).select(
+        *GROUP, "price_top", F.col("_prior").alias("_offset"), "_levels", "_low", "_high", "_least", "_most")
+    return started.where("_complete").select(*GROUP, "price_top", "qty", "value"), cut
 
-    frontier = tops.withColumn("_offset", F.lit(Decimal(0)).cast(WHOLE))
-    keys, settled = list(GROUP), []
-    for tier in ("price_cell", "price", "quantity_cell", "quantity"):
-        cells = (
-            levels.join(frontier, keys)
-            .groupBy(*keys, tier, "price_top", "_offset")
-            .agg(
-                F.sum(whole(qty)).cast(WHOLE).alias("qty"),
-                F.sum(whole(whole(qty) * F.col("price").cast("decimal(19,0)"))).cast(WHOLE).alias("value"),
-                F.min("price").alias("_low"), F.max("price").alias("_high"), F.max("n").alias("n"),
-            )
-        )
-        rank = _signed(F.col(tier)) if tier.startswith("price") else F.col(tier)
-        before = Window.partitionBy(*keys).orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
-        prior = F.col("_offset") + F.coalesce(F.sum("value").over(before), F.lit(Decimal(0)))
-        cells = cells.withColumn("_prior", whole(prior))
-        near = F.when(F.col("direction") == "SELL", F.col("_low")).otherwise(F.col("_high"))
-        far = F.when(F.col("direction") == "SELL", F.col("_high")).otherwise(F.col("_low"))
-        top = F.col("price_top")
-        complete = (whole(F.col("_prior") + F.col("value")) < cap) & _believable(far, top, params)
-        started = materialize(
-            cells.where((F.col("_prior") < cap) & _believable(near, top, params))
-            .select(*keys, tier, "price_top", "qty", "value", "n", "_prior", complete.alias("_complete")), "cells")
-        settled.append(started.where("_complete").select(*GROUP, "price_top", "qty", "value"))
-        cut = started.where(~F.col("_complete"))
-        keys = keys + [tier]
-        frontier = cut.select(*keys, "price_top", F.col("_prior").alias("_offset"))
-
-    # Equal (price, quantity) orders at the cut: as many as it takes to reach the cap.
-    each = whole(F.col("quantity").cast("decimal(19,0)") * F.col("price").cast("decimal(19,0)"))
-    needed = div(whole(cap - F.col("_prior") + each - 1), each)
-    last = cut.withColumn("_k", F.least(needed, F.col("n")))
-    settled.append(last.select(
-        *GROUP, "price_top",
-        whole(F.col("_k").cast("decimal(19,0)") * F.col("quantity").cast("decimal(19,0)")).alias("qty"),
-        whole(F.col("_k").cast("decimal(19,0)") * whole(each)).alias("value")))
-    taken = settled[0]
-    for more in settled[1:]:
+
+def _inside(levels: DataFrame, cut: DataFrame, params: Params) -> DataFrame:
+    """The believable levels of the cells the cut falls in, with the bounds of the cell."""
+    return levels.join(cut, GROUP).where(
+        F.col("price").between(F.col("_low"), F.col("_high")) & F.col("quantity").between(F.col("_least"), F.col("_most"))
+        & _believable(F.col("price"), F.col("price_top"), params))
+
+
+def _depth_by_cells(levels: DataFrame, params: Params) -> DataFrame:
+    """Figures from cell totals, narrowed until the cell of the cut is small.
+
+    A group is one cell at first. While a cell holds more than ``cell_rows`` levels, its price range, and once that is one
+    price its quantity range, is divided by the next ``radix_bits`` bits: parts before the cut count as a whole, the one part
+    the cut falls in goes on. So no window sees more than ``cell_rows`` levels or 2^``radix_bits`` + 1 parts of a group,
+    whatever the number of orders and however close their prices, and only small cells are sorted.
+    """
+    cut, pool, parts = _groups(levels), levels, []
+    while True:
+        large = cut.where(F.col("_levels") > params.cell_rows)
+        if large.isEmpty():
+            break
+        parts.append(_last_cell(_inside(pool, cut.where(F.col("_levels") <= params.cell_rows), params), params))
+        pool = materialize(_inside(pool, large, params), "levels")
+        by_price = F.col("_low") < F.col("_high")
+        width = F.when(by_price, F.col("_high") - F.col("_low")).otherwise(F.col("_most") - F.col("_least"))
+        from_best = F.when(F.col("direction") == "SELL", F.col("price") - F.col("_low")).otherwise(F.col("_high") - F.col("price"))
+        place = F.when(by_price, from_best).otherwise(F.col("quantity") - F.col("_least"))
+        part = F.call_function("shiftright", place, F.greatest(_bits(width) - params.radix_bits, F.lit(0)))
+        settled, cut = _cut(pool.groupBy(*GROUP, "price_top", "_offset", part.alias("_part")).agg(*_sums(), *_bounds()), params)
+        parts.append(settled)
+        pool = pool.select(*levels.columns)
+    parts.append(_last_cell(_inside(pool, cut, params), params))
+    taken = parts[0]
+    for more in parts[1:]:
         taken = taken.unionByName(more)
-    taken = taken.groupBy(*GROUP, "price_top").agg(
-        F.sum("qty").cast(WHOLE).alias("qty"), F.sum("value").cast(WHOLE).alias("value"))
-    return _figures(taken, params)
+    return _figures(taken.groupBy(*GROUP, "price_top").agg(F.sum("qty").cast(WHOLE).alias("qty"), F.sum("value").cast(WHOLE).alias("value")), params)
 
 
-def hot_groups(orders: DataFrame, params: Params) -> DataFrame:
-    """Groups above the row limit: at most total rows / limit of them."""
-    return (
-        orders.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > params.hot_group_rows).select(*GROUP)
-    )
+def _last_cell(rows: DataFrame, params: Params) -> DataFrame:
+    """What is taken of the few levels of a group's last cell: of equal orders as many as it takes to reach the cap."""
+    each = whole(F.col("quantity").cast("decimal(19,0)") * F.col("price").cast("decimal(19,0)"))
+    before = Window.partitionBy(*GROUP).orderBy(_signed(F.col("price")), "quantity").rowsBetween(Window.unboundedPreceding, -1)
+    worth = whole(each * F.col("n").cast("decimal(19,0)"))
+    prior = whole(F.col("_offset") + F.coalesce(F.sum(worth).over(before), F.lit(Decimal(0))))
+    cap = _cap(params).cast(WHOLE)
+    started = rows.withColumn("_prior", prior).where(F.col("_prior") < cap)
+    taken = F.least(div(whole(cap - F.col("_prior") + each - 1), each), F.col("n")).cast("decimal(19,0)")
+    return started.select(*GROUP, "price_top", whole(taken * F.col("quantity").cast("decimal(19,0)")).alias("qty"),
+                          whole(taken * whole(each)).alias("value"))
 
 
 def order_depth_average(orders: DataFrame, params: Params = Params(), exact_steps: bool = False) -> DataFrame:
@@ -196,100 +191,132 @@ def order_depth_average(orders: DataFrame, params: Params = Params(), exact_step
     value reaches the depth cap. Emits samples (quantity), price_top and price_average, the
     average as an exact ratio rounded once. SELL groups below the notable value are left out.
 
-    Only ``valid_orders`` take part, whatever the size of their group; the others are what
-    ``rejected_orders`` returns. A cheap count first tells whether any group is too large for one
-    sorted task; only then is the plan split, by group size, between the window and the tiered cut,
-    which use the same arithmetic and agree. The orders are read once for the count and once for the
-    figures, so pass a stored table rather than unparsed documents. ``exact_steps`` rounds the running average to cents after
-    every order instead.
+    Only ``valid_orders`` take part; the others are what ``rejected_orders`` returns. The orders are read once, and
+    all groups go one way, whatever their size. ``exact_steps`` rounds the running average to cents after every order instead.
     """
-    plain = _depth_by_steps if exact_steps else _depth_by_window
-    orders = valid_orders(orders)
-    hot = hot_groups(orders, params)
-    if hot.isEmpty():
-        return plain(orders, params)
-    hot = materialize(hot, "hot-groups")
-    cold = orders.join(hot, GROUP, "left_anti")
-    large = orders.join(hot, GROUP, "left_semi")
-    if exact_steps:
-        return plain(cold.unionByName(_before_any_stop(large, params)), params)
-    return plain(cold, params).unionByName(_depth_by_tiers(large, params))
-
-
-def _before_any_stop(orders: DataFrame, params: Params) -> DataFrame:
-    """The orders of large groups without the price buckets that lie behind the cut for sure.
-
-    Before a bucket, n orders of U units and value V were walked. Each rounding moved the
-    running value by at most half a cent per unit held, so it is at least V - n * U / 2; once
-    that reaches the cap, the walk has ended. Works on bucket totals only.
+    levels = _levels(valid_orders(orders))
+    return _depth_by_steps(levels, params) if exact_steps else _depth_by_cells(levels, params)
+
+
+# --- average rounded at every order ---------------------------------------------------
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _walked_prefixes(levels: DataFrame, params: Params) -> DataFrame:
+    """(group, price_top, _cut, _levels): rank of the last price bucket the walk can reach, and the levels up to it.
+
+    Bucket by bucket, the running average is at least the larger of two bounds. It never leaves the prices walked: it
+    only rises (SELL), or stays above the lowest price so far (BUY). And each rounding takes at most half a cent per unit held,
+    which is added up over the walked prefix only. Once the bound times the units reaches the cap, the walk has ended.
+    What meets per group is a row per bucket of leading price bits; their number depends on the number format alone.
+    """
+    cells = (levels.groupBy(*GROUP, _coarse(F.col("price")).alias("_cell")).agg(*_sums(), *_bounds(), F.sum("n").alias("_orders"))
+             .withColumn("_rank", _signed(F.col("_cell"))))
+    buckets = F.array_sort(F.collect_list(F.struct("_rank", "_low", "_orders", "_levels", "qty", "value")))
+    cap, sell = _cap(params).cast(WHOLE), F.col("direction") == "SELL"
+    state = lambda low, units, cut, held, over: F.struct(
+        whole(low).alias("low"), whole(units).alias("units"), cut.cast("bigint").alias("cut"), held.cast("bigint").alias("held"), over.alias("over"))
+    start = state(F.lit(Decimal(0)), F.lit(Decimal(0)), F.lit(0), F.lit(0), F.lit(False))
+
+    def step(s: Column, c: Column) -> Column:
+        units = whole(s["units"] + c["qty"])
+        drifted = div(whole(whole(whole(s["low"] * s["units"]) + c["value"]) * 2) - whole(c["_orders"].cast("decimal(19,0)") * units), whole(units * 2))
+        held = F.when(sell & (s["units"] > 0), s["low"]).otherwise(whole(c["_low"]))
+        low = F.greatest(held, whole(drifted))
+        return F.when(s["over"], s).otherwise(_let(F.struct(whole(low).alias("low"), units.alias("units")), lambda b: state(
+            b["low"], b["units"], c["_rank"], s["held"] + c["_levels"], whole(b["low"] * b["units"]) >= cap)))
+
+    return (cells.groupBy(*GROUP).agg(buckets.alias("_buckets"), F.min("_low").alias("_low"), F.max("_high").alias("_high"))
+            .withColumn("_end", F.aggregate("_buckets", start, step))
+            .select(*GROUP, _near().alias("price_top"), F.col("_end.cut").alias("_cut"), F.col("_end.held").alias("_levels")))
+
+
+_WALK = "struct<average:decimal(38,0),units:decimal(38,0),over:boolean,rest:bigint>"
+
+
+def _walk(steps: Column, start: Column, cap: Column) -> Column:
+    """The state after walking sorted levels (rank, quantity, price, n): average, units, and whether the cap is reached.
+
+    Equal orders pull the average towards their price, each at least a cent or nothing; once one leaves it where it is, so do
+    the rest, and those are added at once.
     """
-    placed = orders.withColumn("_cell", _coarse(F.col("price")))
-    wide = F.col("quantity").cast("decimal(19,0)") * F.col("price").cast("decimal(19,0)")
-    cells = placed.groupBy(*GROUP, "_cell").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col("quantity").cast("decimal(19,0)")).alias("_units"),
-        F.sum(wide).alias("_value"))
-    before = Window.partitionBy(*GROUP).orderBy(_signed(F.col("_cell"))).rowsBetween(Window.unboundedPreceding, -1)
-    n, units, value = (whole(F.coalesce(F.sum(c).over(before), F.lit(0))) for c in ("_n", "_units", "_value"))
-    sums = cells.select(*GROUP, "_cell", n.cast("decimal(18,0)").alias("_n"), units.cast("decimal(19,0)").alias("_units"), value.alias("_value"))
-    kept = sums.where(whole(F.col("_value") * 2) - F.col("_n") * F.col("_units") < _cap(params) * 2)
-    return placed.join(kept.select(*GROUP, "_cell"), [*GROUP, "_cell"], "left_semi").select(*orders.columns)
-
-
-def _depth_by_steps(orders: DataFrame, params: Params) -> DataFrame:
+    state = lambda average, units, over, rest: F.struct(
+        whole(average).alias("average"), whole(units).alias("units"), over.alias("over"), rest.cast("bigint").alias("rest"))
+
+    def one(s: Column, level: Column) -> Column:
+        price, quantity = whole(level["price"]), whole(level["quantity"])
+        units = whole(s["units"] + quantity)
+        value = whole(whole(s["average"] * s["units"]) + whole(price * quantity))
+        next_ = F.struct(whole(div(whole(whole(value * 2) + units), whole(units * 2))).alias("average"), units.alias("units"))
+
+        def moved(x: Column) -> Column:
+            each = whole(x["average"] * quantity)
+            needed = div(whole(cap - whole(x["average"] * s["units"]) + each - 1), each)
+            same = F.greatest(F.least(needed, s["rest"]), F.lit(1))
+            after = whole(s["units"] + whole(whole(same) * quantity))
+            return F.when(x["average"] == s["average"], state(x["average"], after, whole(x["average"] * after) >= cap, F.lit(0))).otherwise(
+                state(x["average"], x["units"], whole(x["average"] * x["units"]) >= cap, s["rest"] - 1))
+
+        return F.when(s["over"] | (s["rest"] == 0), s).otherwise(_let(next_, moved))
+
+    def level_after(s: Column, level: Column) -> Column:
+        some = lambda t: F.aggregate(F.sequence(F.lit(1), F.least(t["rest"], F.lit(1024)).cast("int")), t, lambda u, _: one(u, level))
+        rounds = F.sequence(F.lit(1).cast("bigint"), F.ceil(level["n"] / 1024))
+        begun = state(s["average"], s["units"], s["over"], level["n"])
+        return F.when(s["over"], s).otherwise(F.aggregate(
+            rounds, begun, lambda t, _: F.when(t["over"] | (t["rest"] == 0), t).otherwise(some(t))))
+
+    return F.aggregate(steps, start, level_after)
+
+
+def _depth_by_steps(levels: DataFrame, params: Params) -> DataFrame:
     """The running average rounded to cents at every order.
 
-    Rounding at each order makes this sequential within a group. Orders that no amount of
-    rounding drift can bring back before the cut are removed first; what is left streams
-    through the task in price order, holding a single row of state.
+    Rounding at each order makes this sequential within a group. In groups of more than ``cell_rows`` levels, bucket totals first
+    tell how far the walk can get. The levels up to there are folded natively, one array per group. A group with more than
+    ``piece_rows`` of them is range-partitioned by price and quantity, and folded piece after piece, so no array grows with the
+    group; the pieces of all such groups advance together.
     """
-    in_order = Window.partitionBy(*GROUP).orderBy("_rank", "quantity")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    cap = _cap(params)
-    walked = orders.select(*GROUP, "price", "quantity", _signed(F.col("price")).alias("_rank")).select(
-        "*",
-        F.first("price").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("price_top"),
-        F.coalesce(F.sum(F.least(_worth(), whole(cap * 2)).cast("bigint")).over(before), F.lit(0)).alias("_prior"),
-        F.sum("quantity").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("_units"),
-    )
-    # each step adds at most half a cent per unit held so far to the running value
-    drift = F.coalesce(F.sum("_units").over(before), F.lit(0))
-    kept = walked.withColumn("_drift", drift).where(
-        _believable(F.col("price"), F.col("price_top"), params)
-        & (F.col("_prior") * 2 - F.col("_drift") < cap * 2))
-    ordered = (
-        kept.select(*GROUP, "_rank", "price", "quantity", "price_top")
-        .repartition(*GROUP).sortWithinPartitions(*GROUP, "_rank", "quantity")
-    )
-    caps = {"SELL": params.supply_depth, "BUY": params.demand_depth}
-    schema = "part_id bigint, direction string, region bigint, samples bigint, price_top bigint, price_average bigint"
-
-    def walk(batches):
-        import pandas as pd
-
-        state, done = None, []  # state: key, top, average, units, stopped
-
-        for batch in batches:
-            columns = (batch[c].tolist() for c in ("part_id", "direction", "region", "price", "quantity", "price_top"))
-            for part, direction, region, price, quantity, top in zip(*columns):
-                if state is None or state[0] != (part, direction, region):
-                    if state is not None:
-                        done.append((*state[0], state[3], state[1], state[2]))
-                    state = [(part, direction, region), top, 0, 0, False]
-                if state[4]:
-                    continue
-                units = state[3] + quantity
-                average = (2 * (state[2] * state[3] + price * quantity) + units) // (2 * units)
-                state[2], state[3] = average, units
-                state[4] = average * units >= caps[direction]
-            if len(done) > 10_000:
-                yield pd.DataFrame(done, columns=["part_id", "direction", "region", "samples", "price_top", "price_average"])
-                done = []
-        if state is not None:
-            done.append((*state[0], state[3], state[1], state[2]))
-        if done:
-            yield pd.DataFrame(done, columns=["part_id", "direction", "region", "samples", "price_top", "price_average"])
-
-    return _notable(ordered.mapInPandas(walk, schema), params)
+    cap = _cap(params).cast(WHOLE)
+    groups = _groups(levels)
+    ends = groups.where(F.col("_levels") <= params.cell_rows).select(*GROUP, "price_top", F.lit(None).cast("bigint").alias("_cut"), "_levels")
+    many = groups.where(F.col("_levels") > params.cell_rows).select(*GROUP)
+    if not many.isEmpty():
+        ends = ends.unionByName(materialize(_walked_prefixes(levels.join(many, GROUP, "left_semi"), params), "walked-prefixes"))
+    step = F.struct(_signed(F.col("price")).alias("rank"), "quantity", "price", "n")
+    reached = F.col("_cut").isNull() | (_signed(_coarse(F.col("price"))) <= F.col("_cut"))
+    rows = levels.join(ends, GROUP).where(reached & _believable(F.col("price"), F.col("price_top"), params))
+    start = F.struct(F.lit(0).alias("average"), F.lit(0).alias("units"), F.lit(False).alias("over"), F.lit(0).alias("rest")).cast(_WALK)
+    small = rows.where(F.col("_levels") <= params.piece_rows)
+    ended = (small.groupBy(*GROUP, "price_top").agg(F.array_sort(F.collect_list(step)).alias("_steps"))
+             .select(*GROUP, "price_top", _walk(F.col("_steps"), start, cap).alias("s")))
+    large = ends.where(F.col("_levels") > params.piece_rows)
+    if not large.isEmpty():
+        ended = ended.unionByName(_walk_in_pieces(rows.where(F.col("_levels") > params.piece_rows), large, step, start, cap, params))
+    figures = ended.select(*GROUP, F.col("s.units").cast("bigint").alias("samples"), "price_top", F.col("s.average").cast("bigint").alias("price_average"))
+    return _notable(figures, params)
+
+
+def _walk_in_pieces(rows: DataFrame, ends: DataFrame, step: Column, start: Column, cap: Column, params: Params) -> DataFrame:
+    n = ends.agg(F.sum("_levels")).first()[0] // params.piece_rows + 1
+    dealt = rows.select(*GROUP, "price_top", step.alias("step")).repartitionByRange(n, *GROUP, "step").withColumn("_range", F.spark_partition_id())
+    dealt = materialize(dealt, "walk-ranges")
+    number = F.row_number().over(Window.partitionBy(*GROUP).orderBy("_range"))
+    pieces = materialize(dealt.select(*GROUP, "_range").distinct().withColumn("_piece", number), "walk-pieces")
+    state, last = ends.select(*GROUP, "price_top", start.alias("s")), pieces.agg(F.max("_piece")).first()[0]
+    for k in range(1, last + 1):
+        now = dealt.join(pieces.where(F.col("_piece") == k), [*GROUP, "_range"])
+        steps = now.groupBy(*GROUP).agg(F.array_sort(F.collect_list("step")).alias("_steps"))
+        walked = state.join(steps, GROUP, "left").withColumn(
+            "s", F.when(F.col("_steps").isNull() | F.col("s.over"), F.col("s")).otherwise(_walk(F.col("_steps"), F.col("s"), cap))).drop("_steps")
+        state = materialize(walked, "walked")
+        if state.where("not s.over").isEmpty():
+            break
+    return state
 
 
 # --- regional views -------------------------------------------------------------------

@@ -40,8 +40,12 @@ class Params:
         10_000_043, 10_000_002, 10_000_030, 10_000_042, 10_000_032,
     )
     # --- sizing ---------------------------------------------------------
-    hot_group_rows: int = 1_000_000
-    """Order groups above this many rows leave the one-window plan."""
+    cell_rows: int = 4096
+    """A window over orders never holds more different (price, quantity) than this of a group."""
+    radix_bits: int = 12
+    """Bits by which a larger cell is divided at a time."""
+    piece_rows: int = 1_000_000
+    """Different (price, quantity) folded at a time where every order is rounded."""
 
     def but(self, **changes) -> "Params":
         return replace(self, **changes)

@@ -46,11 +46,11 @@ def random_book(seed, n=400):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("hot", [1_000_000, 0, 40])
-def test_depth_average(spark, seed, hot):
-    """Window plan, tiered plan, and a mix of both give the clerk's figures."""
+@pytest.mark.parametrize("rows,bits", [(4096, 12), (1, 1), (20, 3)])
+def test_depth_average(spark, seed, rows, bits):
+    """Cells of any size, divided by any number of bits, give the clerk's figures."""
     book = random_book(seed, 40 if seed == 3 else 400)
-    params = SMALL.but(hot_group_rows=hot, supply_depth=[300, 10_000, 90_000][seed - 1])
+    params = SMALL.but(cell_rows=rows, radix_bits=bits, supply_depth=[300, 10_000, 90_000][seed - 1])
     got = rows_of(market.order_depth_average(orders_of(spark, book), params))
     assert sorted(got) == by_hand(book, params)
 
@@ -60,9 +60,9 @@ def test_tiers_cut_inside_one_price_and_quantity(spark):
     equal = spark.range(10_000).select(F.lit(1).cast("bigint").alias("part_id"), F.lit("SELL").alias("direction"),
                                        F.lit(1).cast("bigint").alias("region"), F.lit(300).cast("bigint").alias("price"),
                                        F.lit(7).cast("bigint").alias("quantity"))
-    for hot in (1_000_000, 10):
-        params = SMALL.but(hot_group_rows=hot)
-        assert rows_of(market.order_depth_average(equal, params)) == [(1, "SELL", 1, 35, 300, 300)]
+    for exact_steps in (False, True):
+        assert rows_of(market.order_depth_average(equal, SMALL, exact_steps)) == [(1, "SELL", 1, 35, 300, 300)]
+        assert rows_of(market.order_depth_average(equal, SMALL.but(supply_depth=10**10), exact_steps)) == [(1, "SELL", 1, 70_000, 300, 300)]
 
 
 def test_wide_price_range_crosses_buckets(spark):
@@ -70,23 +70,47 @@ def test_wide_price_range_crosses_buckets(spark):
     book = [(1, side, 1, r.randint(10**6, 9 * 10**6), r.randint(1, 10**6)) for side in ("BUY", "SELL") for _ in range(300)]
     params = Params(supply_depth=10**13, demand_depth=3 * 10**13, notable_supply=0)
     expected = by_hand(book, params)
-    for hot in (10, 10_000):
-        assert sorted(rows_of(market.order_depth_average(orders_of(spark, book), params.but(hot_group_rows=hot)))) == expected
-
-
-@pytest.mark.parametrize("seed,hot", [(11, 1_000_000), (12, 0), (13, 20)])
-def test_exact_steps(spark, seed, hot):
+    for rows in (1, 10_000):
+        assert sorted(rows_of(market.order_depth_average(orders_of(spark, book), params.but(cell_rows=rows)))) == expected
+
+
+def test_close_prices_never_meet_in_one_window(spark, monkeypatch):
+    """100,000 different prices within 0.02 %: cells of at most 2^8 + 1 parts, last cells of at most 50 levels."""
+    sizes, cut, last = [], market._cut, market._last_cell
+    monkeypatch.setattr(market, "_cut", lambda cells, p: sizes.append(("cells", cells.groupBy(*market.GROUP).count().agg(F.max("count")).first()[0])) or cut(cells, p))
+    monkeypatch.setattr(market, "_last_cell", lambda rows, p: sizes.append(("last", rows.groupBy(*market.GROUP).count().agg(F.max("count")).first()[0] or 0)) or last(rows, p))
+    n, base = 100_000, 1 << 40
+    orders = spark.range(n).select(F.lit(1).cast("bigint").alias("part_id"), F.lit("SELL").alias("direction"), F.lit(1).cast("bigint").alias("region"),
+                                   (F.lit(base) + F.col("id") * 2000).alias("price"), (F.col("id") % 7 + 1).alias("quantity"))
+    params = Params(supply_depth=150_000 * base, notable_supply=0, cell_rows=50, radix_bits=8)
+    [got] = rows_of(market.order_depth_average(orders, params))
+    value, units, k = 0, 0, 0
+    while value < params.supply_depth:
+        value, units, k = value + (base + 2000 * k) * (k % 7 + 1), units + k % 7 + 1, k + 1
+    assert got == (1, "SELL", 1, units, base, (2 * value + units) // (2 * units))
+    assert all(n <= (257 if kind == "cells" else 50) for kind, n in sizes) and len(sizes) >= 4
+
+
+@pytest.mark.parametrize("seed,rows", [(11, 1_000_000), (12, 3), (13, 20)])
+def test_exact_steps(spark, seed, rows):
+    """One array per group, and pieces of a few levels in turn."""
     book = random_book(seed)
-    params = SMALL.but(supply_depth=40_000, demand_depth=40_000, hot_group_rows=hot)
+    params = SMALL.but(supply_depth=40_000, demand_depth=40_000, cell_rows=rows, piece_rows=rows)
     got = rows_of(market.order_depth_average(orders_of(spark, book), params, exact_steps=True))
     assert sorted(got) == by_hand(book, params, exact_steps=True)
 
 
-def test_large_groups_are_cut_before_the_walk(spark):
-    book = orders_of(spark, [(1, "SELL", 1, p, 10) for p in range(100_000, 101_000)])
-    params = SMALL.but(supply_depth=30_000_000)
-    kept = market._before_any_stop(book, params)
-    assert 30 <= kept.count() < 200
+def test_the_walk_reads_little_more_than_it_needs(spark):
+    """A hot cheap group: 200,000 orders at 500 to 2,499 cents, where rounding half a cent per order is no small thing."""
+    rows = [(1, d, 1, 500 + i * 7919 % 2000, i % 9 + 1) for i in range(200_000) for d in ("SELL", "BUY")]
+    book = spark.createDataFrame(rows, "part_id bigint, direction string, region bigint, price bigint, quantity bigint")
+    params = SMALL.but(supply_depth=60_000_000, demand_depth=60_000_000)
+    expected = by_hand(rows, params, exact_steps=True)
+    assert sorted(rows_of(market.order_depth_average(book, params, exact_steps=True))) == expected
+    needed = {r[1]: r[3] / 5 for r in expected}  # orders are of 5 units in the mean
+    for end in market._walked_prefixes(market._levels(book), params).collect():
+        walked = sum(1 for o in rows if o[1] == end["direction"] and (o[3] if o[1] == "SELL" else -o[3]) <= end["_cut"])
+        assert walked <= 1.5 * needed[end["direction"]] < 100_000
 
 
 def test_step_rounding_drift_is_bounded(spark):
@@ -144,7 +168,7 @@ def test_group_size_never_changes_a_result(spark, exact_steps):
         (5, None, 1, 3, 3), (None, "BUY", 1, 3, 3), (5, "BUY", None, 3, 3), (6, "SELL", 1, 4, 0), (6, "LEND", 1, 4, 2)]
     params = Params(supply_depth=10**9, demand_depth=10**9, notable_supply=0)
     orders = orders_of(spark, book)
-    results = [sorted(rows_of(market.order_depth_average(orders, params.but(hot_group_rows=n), exact_steps=exact_steps))) for n in (0, 1, 2, 10**6)]
+    results = [sorted(rows_of(market.order_depth_average(orders, params.but(cell_rows=n, piece_rows=n), exact_steps=exact_steps))) for n in (1, 2, 10**6)]
     assert all(r == results[0] for r in results)
     assert (1, "SELL", 1, 20, 10, 11) in results[0] and (2, "SELL", 1, 10, 5, 5) in results[0] and (3, "BUY", 1, 4, 8, 8) in results[0]
     assert market.rejected_orders(orders).count() + market.valid_orders(orders).count() == len(book)

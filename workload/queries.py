@@ -418,8 +418,8 @@ def order_depth_average(spark, d):
 
 @query
 def order_depth_hot_groups(spark, d):
-    """The same figures with almost every group treated as too large for one task."""
-    return market.order_depth_average(a.orders(spark, d), a.PARAMS.but(hot_group_rows=2))
+    """The same figures with the cell of the cut divided down to four prices and quantities at most."""
+    return market.order_depth_average(a.orders(spark, d), a.PARAMS.but(cell_rows=4, radix_bits=12))
 
 
 @query
