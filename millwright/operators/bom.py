@@ -195,44 +195,96 @@ def bom_quantity(paths: DataFrame, units: Column, runs: Column | None = None) ->
     return result.withColumn("q_copy", (all_full + rest).cast(QUANTITY))
 
 
-def bom_cycles(edges: DataFrame) -> DataFrame:
-    """Edges that lie on a cycle, each with its shortest way back to the edge's own good.
-
-    First peels edges that end in a plain input or start at a plain product until nothing
-    changes: an acyclic tree peels away completely. Only what is left is searched, one
-    breadth-first step at a time, keeping one shortest path per (start, node).
-    """
-    core = materialize(edges.select("good_id", "part_id").distinct(), "cycle-core")
+def _peeled(core: DataFrame) -> DataFrame:
+    """Edges left when those that end in a plain input or start at a plain product are taken off until nothing changes."""
     size = core.count()
     while size:
-        goods = core.select("good_id").distinct()
-        inputs = core.select("part_id").distinct()
-        peeled = materialize(
-            core.join(goods.select(F.col("good_id").alias("part_id")), "part_id", "left_semi")
-            .join(inputs.select(F.col("part_id").alias("good_id")), "good_id", "left_semi")
-            .select("good_id", "part_id"), "cycle-core")
-        left = peeled.count()
+        goods = core.select(F.col("good_id").alias("part_id")).distinct()
+        inputs = core.select(F.col("part_id").alias("good_id")).distinct()
+        core = materialize(core.join(goods, "part_id", "left_semi").join(inputs, "good_id", "left_semi").select("good_id", "part_id"), "cycle-core")
+        left = core.count()
         if left == size:
             break
-        core, size = peeled, left
-
-    starts = core.select(F.col("part_id").alias("start")).distinct()
-    reached = materialize(
-        starts.select("start", F.col("start").alias("node"), F.array("start").alias("path")), "cycle-reach")
-    frontier = reached
-    hops = core.select(F.col("good_id").alias("node"), F.col("part_id").alias("next"))
-    while not frontier.isEmpty():
-        step = (
-            frontier.join(hops, "node")
-            .groupBy("start", F.col("next").alias("node"))
-            .agg(F.min(F.concat("path", F.array("next"))).alias("path"))
-            .join(reached.select("start", "node"), ["start", "node"], "left_anti")
-        )
-        frontier = materialize(step.select("start", "node", "path"), "cycle-reach")
+        size = left
+    return core
+
+
+def _colours(core: DataFrame) -> DataFrame:
+    """(node, colour): the least node that leads to it, itself included. One row per node, whatever the number of ways."""
+    nodes = core.select(F.col("good_id").alias("node")).unionByName(core.select(F.col("part_id").alias("node"))).distinct()
+    colours = materialize(nodes.select("node", F.col("node").alias("colour")), "cycle-colours")
+    while True:
+        sent = core.join(colours.withColumnRenamed("node", "good_id"), "good_id").groupBy(F.col("part_id").alias("node")).agg(F.min("colour").alias("_sent"))
+        after = materialize(colours.join(sent, "node", "left").select(
+            "node", F.least("colour", "_sent").alias("colour"), (F.col("_sent") < F.col("colour")).alias("_changed")), "cycle-colours")
+        colours = after.select("node", "colour")
+        if after.where("_changed").isEmpty():
+            return colours
+
+
+def _ways(hops: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, colour, path): the shortest way from a root of (node, colour) over hops (node, next, colour), the least of equals.
+
+    Breadth first; a node is reached once, so there is a row per node of a component, never one per pair.
+    """
+    reached = frontier = materialize(roots.select("node", "colour", F.array("node").alias("path")), "cycle-ways")
+    while True:
+        step = (frontier.join(hops, ["node", "colour"]).groupBy(F.col("next").alias("node"), "colour")
+                .agg(F.min(F.concat("path", F.array("next"))).alias("path"))
+                .join(reached.select("node", "colour"), ["node", "colour"], "left_anti"))
+        frontier = materialize(step.select("node", "colour", "path"), "cycle-ways")
+        if frontier.isEmpty():
+            return reached
+        reached = reached.unionByName(frontier)
+
+
+def _back_ways(hops: DataFrame, roots: DataFrame) -> DataFrame:
+    """As ``_ways``, towards the root: paths from the node, the least of the shortest."""
+    reached = frontier = materialize(roots.select("node", "colour", F.array("node").alias("path")), "cycle-ways")
+    while True:
+        step = (frontier.withColumnRenamed("node", "next").join(hops, ["next", "colour"]).groupBy("node", "colour")
+                .agg(F.min(F.concat(F.array("node"), "path")).alias("path"))
+                .join(reached.select("node", "colour"), ["node", "colour"], "left_anti"))
+        frontier = materialize(step.select("node", "colour", "path"), "cycle-ways")
+        if frontier.isEmpty():
+            return reached
         reached = reached.unionByName(frontier)
-    return core.join(
-        reached, (F.col("start") == F.col("part_id")) & (F.col("node") == F.col("good_id"))
-    ).select("good_id", "part_id", F.concat(F.array("good_id"), F.col("path")).alias("path"))
+
+
+def bom_cycles(edges: DataFrame) -> DataFrame:
+    """Edges that lie on a cycle, each with a closed walk through it: good, part, on to the root of their component and back to the good.
+
+    Components are found by forward and backward colouring. What is on no cycle is peeled off first; an acyclic tree
+    peels away completely. Every node takes the least node that leads to it as its colour; a node of its own colour is a root, and
+    the nodes of its colour that lead back to it are its component. These leave, and the rest goes round again. The root is
+    the least node of its component; ways to and from it are the shortest, the least of equals.
+    """
+    given = materialize(edges.where("good_id is not null and part_id is not null").select("good_id", "part_id").distinct(), "cycle-edges")
+    core, found = _peeled(given), None
+    while not core.isEmpty():
+        colours = _colours(core)
+        ends = colours.select(F.col("node").alias("part_id"), F.col("colour").alias("_other"))
+        hops = materialize(core.join(colours.withColumnRenamed("node", "good_id"), "good_id").join(ends, "part_id").where("colour = _other").select(
+            F.col("good_id").alias("node"), F.col("part_id").alias("next"), "colour"), "cycle-hops")
+        members = _back_ways(hops, colours.where("node = colour"))
+        found = members if found is None else found.unionByName(members)
+        gone = members.select("node")
+        core = _peeled(materialize(
+            core.join(gone.withColumnRenamed("node", "good_id"), "good_id", "left_anti")
+            .join(gone.withColumnRenamed("node", "part_id"), "part_id", "left_anti").select("good_id", "part_id"), "cycle-core"))
+    if found is None:
+        return given.where("false").select("good_id", "part_id", F.array("good_id").alias("path"))
+
+    to_root = materialize(found, "cycle-members")
+    member = to_root.select(F.col("node").alias("good_id"), "colour")
+    other = to_root.select(F.col("node").alias("part_id"), F.col("colour").alias("_other"), F.col("path").alias("_to"))
+    on_cycle = materialize(given.join(member, "good_id").join(other, "part_id").where("colour = _other").select("good_id", "part_id", "colour", "_to"),
+                           "cycle-hops")
+    from_root = _ways(on_cycle.select(F.col("good_id").alias("node"), F.col("part_id").alias("next"), "colour"),
+                      to_root.where("node = colour").select("node", "colour"))
+    back = from_root.select(F.col("node").alias("good_id"), F.col("path").alias("_from"))
+    return on_cycle.join(back, "good_id").select(
+        "good_id", "part_id", F.concat(F.array("good_id"), "_to", F.slice("_from", F.lit(2), F.size("_from"))).alias("path"))
 
 
 def direct_parts_tagged(edges: DataFrame, tags: DataFrame, keyword: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -152,6 +153,25 @@ def test_cycles(spark):
     assert bom.bom_cycles(edges_of(spark, [(1, 2, 1), (2, 3, 1)])).count() == 0
 
 
+def test_cycles_of_random_graphs(spark):
+    """Against reachability, edge by edge; every walk is closed, follows edges and holds no more than two ways of the component."""
+    rng = random.Random(8)
+    pairs = {(rng.randint(1, 25), rng.randint(1, 25)) for _ in range(40)} | {(k, k + 1) for k in range(100, 107)} | {(107, 100), (105, 102)}
+    reach = {n: {p for g, p in pairs if g == n} for n in {x for e in pairs for x in e}}
+    grown = True
+    while grown:
+        grown = False
+        for n, seen in reach.items():
+            more = set().union(*(reach[x] for x in seen)) - seen if seen else set()
+            seen |= more
+            grown |= bool(more)
+    found = {(r["good_id"], r["part_id"]): r["path"] for r in bom.bom_cycles(edges_of(spark, [(g, p, 1) for g, p in pairs])).collect()}
+    assert set(found) == {(g, p) for g, p in pairs if g in reach[p] or g == p}
+    for (good, part), path in found.items():
+        assert path[:2] == [good, part] and path[-1] == good
+        assert all(hop in pairs for hop in zip(path, path[1:]))
+
+
 def test_monotone_in_units(spark):
     paths = bom.bom_explode(chain(spark, ["1.37", "2.91"], efficiency=7)).where("depth = 2")
     sized = paths.withColumn("u", F.explode(F.sequence(F.lit(1), F.lit(400))))

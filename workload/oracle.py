@@ -166,7 +166,9 @@ def _quoted(words) -> str:
 _labels = [*tag_rules.BOUGHT_ON_CONTRACT, *tag_rules.INVENTED, *tag_rules.INVENTED_UNTAGGED, *tag_rules.REVERSE_ENGINEERED]
 CTES["print_labels"] = CTES["print_labels"].replace("{pick}", f"[{_quoted(_labels)}][p_partkey % {len(_labels)} + 1]")
 CTES["looped"] = """SELECT good_id, part_id FROM edges UNION
-  SELECT part_id, good_id FROM edges WHERE edge_id % 10 = 1 AND good_id IN (SELECT part_id FROM parts WHERE p_size = 50)"""
+  SELECT part_id, good_id FROM edges WHERE edge_id % 10 = 1 AND good_id IN (SELECT part_id FROM parts WHERE p_size = 50) UNION
+  SELECT b.part_id, a.good_id FROM edges a JOIN edges b ON b.good_id = a.part_id
+  WHERE a.edge_id % 10 = 1 AND b.edge_id % 10 <= 2 AND a.good_id IN (SELECT part_id FROM parts WHERE p_size BETWEEN 44 AND 49)"""
 CTES["doc_text"] = """SELECT o_custkey AS item, o_orderstatus, timezone('UTC', timezone('Europe/London', o_orderdate)) AS cached_until,
   '<holdings><result><rowset><row locationID="' || location_id || '" typeID="' || location_type || '"><rowset><row typeID="' || item1 ||
   '" quantity="' || n1 || '"/><row typeID="' || item2 || '" quantity="' || n2 ||
@@ -352,13 +354,22 @@ O["dup_label_check"] = "SELECT upper(p_name) AS label, count(*) AS copies FROM p
 O["dup_extid_check"] = """SELECT external_id, count(*) AS copies FROM (SELECT CASE WHEN p_type = 'PROMO' THEN p_partkey // 2
   WHEN p_type <> 'SMALL' THEN p_partkey*3 + 1000000007 END AS external_id FROM part) WHERE external_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"""
 O["self_loop_check"] = "SELECT edge_id, good, good AS part FROM edges WHERE qty100 = 300"
-O["bom_cycles"] = """WITH RECURSIVE looped AS MATERIALIZED ({looped}), back AS (
-    SELECT part_id AS start, part_id AS node, [part_id] AS walk FROM looped
-      WHERE (part_id, good_id) IN (SELECT good_id, part_id FROM looped)
-    UNION SELECT start, l.part_id, list_append(walk, l.part_id) FROM back b JOIN looped l ON l.good_id = b.node
-      WHERE NOT list_contains(walk, l.part_id) AND (l.part_id, l.good_id) IN (SELECT good_id, part_id FROM looped))
-  SELECT good_id, part_id, array_to_string(list_prepend(good_id, min(walk)), '>') AS path
-  FROM looped JOIN back ON start = part_id AND node = good_id GROUP BY good_id, part_id"""
+O["bom_cycles"] = """WITH RECURSIVE looped AS MATERIALIZED ({looped}), reach AS (
+    SELECT good_id AS a, part_id AS b FROM looped
+    UNION SELECT a, part_id FROM reach JOIN looped ON good_id = b),
+  member AS MATERIALIZED (SELECT a AS node, min(b) AS root FROM reach r WHERE (b, a) IN (SELECT a, b FROM reach) GROUP BY a),
+  inner_edges AS MATERIALIZED (SELECT good_id, part_id, g.root FROM looped JOIN member g ON g.node = good_id JOIN member p ON p.node = part_id
+    WHERE g.root = p.root),
+  to_root AS (SELECT root AS node, root, [root] AS walk FROM (SELECT DISTINCT root FROM member)
+    UNION SELECT good_id, t.root, list_prepend(good_id, walk) FROM to_root t JOIN inner_edges e ON e.part_id = t.node AND e.root = t.root
+      WHERE NOT list_contains(walk, good_id)),
+  from_root AS (SELECT root AS node, root, [root] AS walk FROM (SELECT DISTINCT root FROM member)
+    UNION SELECT part_id, f.root, list_append(walk, part_id) FROM from_root f JOIN inner_edges e ON e.good_id = f.node AND e.root = f.root
+      WHERE NOT list_contains(walk, part_id)),
+  best_to AS (SELECT node, min(list_prepend(len(walk), walk))[2:] AS walk FROM to_root GROUP BY node),
+  best_from AS (SELECT node, min(list_prepend(len(walk), walk))[2:] AS walk FROM from_root GROUP BY node)
+  SELECT good_id, part_id, array_to_string(list_concat(list_prepend(good_id, t.walk), f.walk[2:]), '>') AS path
+  FROM inner_edges JOIN best_to t ON t.node = part_id JOIN best_from f ON f.node = good_id"""
 O["orphan_edges"] = """SELECT good, part, 'good' AS side, good AS missing FROM edges WHERE good_id IN (SELECT part_id FROM parts WHERE p_type = 'SMALL')
   UNION ALL SELECT good, part, 'part', part FROM edges WHERE part_id IN (SELECT part_id FROM parts WHERE p_type = 'SMALL')"""
 O["region_conflicts"] = """WITH r AS (SELECT r_regionkey::BIGINT AS region, r_name AS name_region FROM region

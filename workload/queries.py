@@ -355,13 +355,16 @@ def dup_extid_check(spark, d):
 
 
 def _looped_edges(spark, d):
-    """The edges plus a way back from the first input of every product of size 50."""
+    """The edges plus ways back: from the first input of every product of size 50, and from an input of that of those of size 44 to 49."""
     e = a.edges(spark, d)
-    big = a.read(spark, d, "part").where(F.col("p_size") == 50).select(F.col("p_partkey").alias("good_id"))
-    back = e.where(F.col("edge_id") % 10 == 1).join(big, "good_id", "left_semi")
-    flipped = back.select("edge_id", F.col("part_id").alias("good_id"), F.col("good_id").alias("part_id"),
-                          F.col("part").alias("good"), F.col("good").alias("part"), "quantity")
-    return e.unionByName(flipped)
+    sizes = a.read(spark, d, "part").select(F.col("p_partkey").alias("good_id"), "p_size")
+    first = e.where(F.col("edge_id") % 10 == 1).join(sizes, "good_id")
+    below = e.where(F.col("edge_id") % 10 <= 2).select(F.col("good_id").alias("part_id"), F.col("part_id").alias("low_id"), F.col("part").alias("low"))
+    near = first.where("p_size = 50").select("edge_id", F.col("part_id").alias("good_id"), F.col("good_id").alias("part_id"),
+                                             F.col("part").alias("good"), F.col("good").alias("part"), "quantity")
+    far = first.where("p_size between 44 and 49").join(below, "part_id").select(
+        "edge_id", F.col("low_id").alias("good_id"), F.col("good_id").alias("part_id"), F.col("low").alias("good"), F.col("good").alias("part"), "quantity")
+    return e.unionByName(near).unionByName(far)
 
 
 @query
