@@ -19,7 +19,7 @@ from millwright.params import Params
 from millwright.schemas import ORDER
 from millwright.session import materialize
 from millwright.sources.catalogue import staging_filter
-from millwright.sources.documents import ASSETS, ORDER_BOOK, accepted, parse_assets, parse_orders, rejected
+from millwright.sources.documents import ASSETS, accepted, parse_assets, read_books, rejected
 
 
 class LoadRefused(ValueError):
@@ -71,19 +71,19 @@ class Market:
 
 
 def refresh_market(current: Market, docs: DataFrame, parts: DataFrame, now: datetime, security: Decimal,
-                   params: Params = Params(), version: str = "cached_until") -> Market:
+                   params: Params = Params(), version: str = "cached_until", regions: Sequence[int] | None = None) -> Market:
     """Fresh order-book documents (item_type_id, xdoc, ``version`` if there are several of an item) into orders and aggregates.
 
-    All orders of a refreshed item are replaced by those of its newest document; only refreshed items are priced again.
-    Refused documents (``sources.documents.rejected``) refresh nothing: their items keep what they had.
+    All orders of a refreshed item are replaced by those of its newest document, of ``regions`` only if given; only refreshed
+    items are priced again. Refused documents refresh nothing: their items keep what they had. Each document is parsed once.
     """
-    docs = materialize(newest(accepted(docs, ORDER_BOOK), "item_type_id", version), "books")
+    books = read_books(docs, version=version, regions=regions)
     items = parts.where(F.col("external_id").isNotNull()).select(
         F.col("external_id").alias("item_type_id"), "part_id")
     stamp = F.lit(now).cast("timestamp_ntz").alias("time_quotes_exec")
-    quotes = relevant_orders(parse_orders(docs), now, security, params).join(items, "item_type_id")
+    quotes = relevant_orders(books.orders, now, security, params).join(items, "item_type_id")
     fresh = materialize(quotes.select(*ORDER.names[:-1], stamp), "orders")
-    touched = docs.select("item_type_id").distinct().join(items, "item_type_id").select("part_id")
+    touched = books.items.join(items, "item_type_id").select("part_id")
     priced = order_depth_average(fresh, params).withColumn("time_quotes_exec", stamp)
     return replace(
         current,

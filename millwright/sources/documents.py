@@ -6,14 +6,19 @@ parsers give no row for it, ``rejected`` returns it with the reason, ``accepted`
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millwright.functions.numbers import to_cents
 from millwright.functions.times import zone_shift
+from millwright.session import materialize
 
 _ORDER = ("struct<_id:bigint,region:bigint,station:string,station_name:string,security:string,"
           "price:string,vol_remain:bigint,min_volume:bigint,expires:string>")
 ORDER_BOOK = f"sell_orders struct<order:array<{_ORDER}>>, buy_orders struct<order:array<{_ORDER}>>"
+SIDES = {"SELL": "sell_orders", "BUY": "buy_orders"}
 _CARGO = "struct<row:array<struct<_typeID:string,_quantity:bigint>>>"
 ASSETS = (f"cachedUntil string, result struct<rowset:struct<row:array<struct<_locationID:string,"
           f"_typeID:string,rowset:{_CARGO}>>>>")
@@ -23,16 +28,20 @@ JOBS = ("cachedUntil string, result struct<rowset:struct<row:array<struct<_jobID
 
 
 _BROKEN = "_corrupt_record"
-_SIDES = ("sell_orders", "buy_orders")
+
+
+def order_book(sides: Sequence[str] = tuple(SIDES)) -> str:
+    """The schema of an order book with whole orders on the sides asked for; of the others only prices, which can refuse the document."""
+    return ", ".join(f"{field} struct<order:array<{_ORDER if side in sides else 'struct<price:string>'}>>" for side, field in SIDES.items())
 
 
 def opened(docs: DataFrame, kind: str, xml: str = "xdoc") -> DataFrame:
     """Adds ``_doc``, the document as a struct of ``kind``, and ``_fault``, why it is refused, else null."""
     fault = F.when(F.col(xml).isNull(), "no document").when(
         F.col("_doc").isNull() | F.col(f"_doc.{_BROKEN}").isNotNull(), "not well-formed")
-    if kind == ORDER_BOOK:
+    if kind.startswith("sell_orders"):
         none = F.array().cast("array<string>")
-        prices = F.concat(*[F.coalesce(F.col(f"_doc.{side}.order.price"), none) for side in _SIDES])
+        prices = F.concat(*[F.coalesce(F.col(f"_doc.{side}.order.price"), none) for side in SIDES.values()])
         fault = fault.when(F.exists(prices, lambda p: p.try_cast("decimal(17,2)").isNull()), "unreadable price")
     doc = F.from_xml(F.col(xml), f"{kind}, {_BROKEN} string", {"columnNameOfCorruptRecord": _BROKEN})
     return docs.withColumn("_doc", doc).withColumn("_fault", fault)
@@ -53,21 +62,64 @@ def _loaded(rows: Column | str) -> Column:
     return F.when(F.col("_fault").isNull(), F.col(rows) if isinstance(rows, str) else rows)
 
 
-def parse_orders(docs: DataFrame, key: str = "item_type_id", xml: str = "xdoc") -> DataFrame:
-    """One row per quoted order, both sides of the book from one parse."""
-    book = opened(docs, ORDER_BOOK, xml)
-
-    def side(field: str, direction: str) -> Column:
-        rows = F.transform(_loaded(f"_doc.{field}.order"), lambda o: F.struct(F.lit(direction).alias("direction"), o.alias("o")))
+def _orders(sides: Sequence[str], regions: Sequence[int] | None) -> Column:
+    """The orders of a document that is not refused, pruned to the regions asked for while they are an array still."""
+    def side(direction: str) -> Column:
+        found = _loaded(f"_doc.{SIDES[direction]}.order")
+        if regions is not None:
+            found = F.filter(found, lambda o: o["region"].isin(list(regions)))
+        rows = F.transform(found, lambda o: F.struct(F.lit(direction).alias("direction"), o.alias("o")))
         return F.coalesce(rows, F.expr(f"cast(array() as array<struct<direction:string,o:{_ORDER}>>)"))
 
-    rows = book.select(key, F.inline(F.concat(side("sell_orders", "SELL"), side("buy_orders", "BUY"))))
-    return rows.select(
-        key, "direction", F.col("o._id").alias("order_id"), "o.region", "o.station", "o.station_name",
-        F.col("o.security").try_cast("decimal(4,2)").alias("security"),
-        to_cents(F.col("o.price").try_cast("decimal(17,2)")).alias("price"),
-        F.col("o.vol_remain").alias("quantity"), F.col("o.min_volume").alias("min_qty"),
-        F.col("o.expires").try_cast("date").alias("expires"))
+    return F.concat(*[side(direction) for direction in sides])
+
+
+def _order_columns() -> list[Column]:
+    return [F.col("direction"), F.col("o._id").alias("order_id"), F.col("o.region"), F.col("o.station"), F.col("o.station_name"),
+            F.col("o.security").try_cast("decimal(4,2)").alias("security"),
+            to_cents(F.col("o.price").try_cast("decimal(17,2)")).alias("price"),
+            F.col("o.vol_remain").alias("quantity"), F.col("o.min_volume").alias("min_qty"),
+            F.col("o.expires").try_cast("date").alias("expires")]
+
+
+def parse_orders(docs: DataFrame, key: str = "item_type_id", xml: str = "xdoc", sides: Sequence[str] = tuple(SIDES),
+                 regions: Sequence[int] | None = None) -> DataFrame:
+    """One row per quoted order, all sides from one parse; only ``sides`` and ``regions`` (None: all) are read."""
+    rows = opened(docs, order_book(sides), xml).select(key, F.inline(_orders(sides, regions)))
+    return rows.select(key, *_order_columns())
+
+
+@dataclass(frozen=True)
+class Books:
+    """What one parse of order-book documents gave: the orders of the newest accepted document of each item, the items that
+    have one (also without orders), and the refused documents with the reason."""
+
+    orders: DataFrame
+    items: DataFrame
+    rejected: DataFrame
+
+
+def read_books(docs: DataFrame, key: str = "item_type_id", version: str = "cached_until", xml: str = "xdoc",
+               sides: Sequence[str] = tuple(SIDES), regions: Sequence[int] | None = None) -> Books:
+    """Parse each document once and store what is in it; orders, items and refused documents are read from there.
+
+    A document gives a row of its own and a row per order. The newest accepted document of an item counts: that of the highest
+    ``version``; of equal ones, or without any, the greatest.
+    """
+    if version not in docs.columns:
+        docs = docs.withColumn(version, F.lit(0))
+    book = opened(docs.select(key, version, xml), order_book(sides), xml).withColumn("_document", F.monotonically_increasing_id())
+    nothing = F.expr(f"cast(null as struct<direction:string,o:{_ORDER}>)")
+    fanned = book.select(key, version, "_document", "_fault", xml, F.posexplode(F.concat(F.array(nothing), _orders(sides, regions))).alias("_at", "_row"))
+    stored = materialize(fanned.select(
+        key, version, "_document", "_at", "_fault", F.when(F.col("_at") == 0, F.col(xml)).alias(xml), "_row.*").select(
+        key, version, "_document", "_at", "_fault", xml, *_order_columns()), "books")
+    heads = stored.where("_at = 0")
+    best = F.max(F.struct(version, xml, "_document")).alias("_best")
+    newest = materialize(heads.where("_fault is null").groupBy(key).agg(best).select(key, F.col("_best._document").alias("_document")), "newest-books")
+    orders = stored.where("_at > 0").join(newest.select("_document"), "_document", "left_semi")
+    refused = heads.where("_fault is not null").select(key, version, xml, F.col("_fault").alias("reason"))
+    return Books(orders.drop("_document", "_at", "_fault", version, xml), newest.select(key), refused)
 
 
 def parse_assets(docs: DataFrame, holder: str = "holder", xml: str = "xdoc") -> DataFrame:

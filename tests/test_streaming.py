@@ -33,6 +33,26 @@ def test_each_batch_replaces_its_items(spark, tmp_path):
 
     assert sorted((r.part_id, r.direction, r.region, r.price, r.quantity) for r in current_orders(spark, folder).collect()) == [
         (1, "SELL", 1, 1200, 4)]
+    # the folders of the list hold no more than about twice the live rows; no row of the first batch is live
+    named = {r[0] for r in spark.read.parquet(f"{folder}/live/orders/2").select("batch_id").collect()}
+    assert named == {1} and spark.read.parquet(f"{folder}/live/orders/0").count() == 2
     # region 2 of item 1, and item 2, are quoted no more but keep their last figures
     assert sorted((r.part_id, r.direction, r.region, r.samples, r.price_average) for r in current_aggregates(spark, folder).collect()) == [
         (1, "SELL", 1, 4, 1200), (1, "SELL", 2, 5, 1100), (2, "BUY", 1, 2, 300)]
+
+
+def test_thin_folders_are_carried_over(spark, tmp_path):
+    """Three parts in one batch, two of them replaced: the third moves into the newest folder, and history is opened no more."""
+    landed, folder = str(tmp_path / "landed"), str(tmp_path / "state")
+    schema = "item_type_id bigint, xdoc string"
+    items = spark.createDataFrame([(k, k) for k in range(1, 6)], "item_type_id bigint, part_id bigint")
+    batches = [[(k, book([(1, f"{k}.00", k)])) for k in (1, 2, 3)], [(1, book([(1, "7.00", 1)]))], [(2, book([(2, "8.00", 1)])), (4, "<quicklook>")]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landed)
+        docs = spark.readStream.schema(schema).parquet(landed)
+        refresh_prices(docs, items, folder, lambda: NOW, Decimal("0.5"), Params(notable_supply=0)).awaitTermination()
+    assert sorted((r.part_id, r.region, r.price) for r in current_orders(spark, folder).collect()) == [(1, 1, 700), (2, 2, 800), (3, 1, 300)]
+    assert {r[0] for r in spark.read.parquet(f"{folder}/live/orders/2").select("batch_id").collect()} == {1, 2}
+    assert [(r.item_type_id, r.reason) for r in spark.read.parquet(f"{folder}/rejected").collect()] == [(4, "not well-formed")]
+    assert sorted((r.part_id, r.region, r.price_average) for r in current_aggregates(spark, folder).collect()) == [
+        (1, 1, 700), (2, 1, 200), (2, 2, 800), (3, 1, 300)]

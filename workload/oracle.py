@@ -281,6 +281,9 @@ O["staging_filter"] = "SELECT upper(p_name) AS label, p_partkey FROM part WHERE
 _quote_cols = "item_type_id, order_id, region, station, station_name, security, price, quantity, min_qty, expires"
 O["xml_orders_sell"] = f"SELECT {_quote_cols} FROM quotes WHERE direction = 'SELL'"
 O["xml_orders_buy"] = f"SELECT {_quote_cols} FROM quotes WHERE direction = 'BUY'"
+O["orders_in_regions"] = f"SELECT {_quote_cols}, direction FROM quotes WHERE region IN (1, 3)"
+O["orders_rejected"] = """SELECT item_type_id, '3 not well-formed, 4 no document, 5 unreadable price' AS refused, count(*) AS orders,
+  sum(price)::BIGINT AS cents FROM quotes GROUP BY item_type_id"""
 O["xml_assets_nested"] = "SELECT holder, location_id, location_type, item_type, quantity FROM assets"
 O["xml_jobs"] = """SELECT o_orderkey::VARCHAR AS job_id, 'Clerk ' || o_custkey % 100 AS installer_name, 8 AS activity_id,
   (o_orderkey+1)::VARCHAR AS blueprint_id, o_custkey::VARCHAR AS blueprint_type_id, 'Print ' || o_custkey AS blueprint_type_name,

@@ -100,10 +100,11 @@ def staging_filter(spark, d):
     return catalogue.staging_filter(rows, "label")
 
 
+_QUOTE = ["item_type_id", "order_id", "region", "station", "station_name", "security", "price", "quantity", "min_qty", "expires"]
+
+
 def _xml_side(spark, d, direction):
-    quotes = documents.parse_orders(a.order_docs(spark, d)).where(F.col("direction") == direction)
-    return quotes.select("item_type_id", "order_id", "region", "station", "station_name", "security", "price",
-                         "quantity", "min_qty", "expires")
+    return documents.parse_orders(a.order_docs(spark, d), sides=[direction]).select(*_QUOTE)
 
 
 @query
@@ -116,6 +117,25 @@ def xml_orders_buy(spark, d):
     return _xml_side(spark, d, "BUY")
 
 
+@query
+def orders_in_regions(spark, d):
+    """Both sides of the book in two of the regions, cut while the orders are arrays still."""
+    return documents.parse_orders(a.order_docs(spark, d), regions=[1, 3]).select(*_QUOTE, "direction")
+
+
+@query
+def orders_rejected(spark, d):
+    """Per item, of a good, a truncated, a missing and a wrongly priced document: the refused ones, and the orders of the newest good one."""
+    docs = materialize(a.order_books(spark, d), "books")
+    cut, wrong = F.expr("left(xdoc, length(xdoc) - 20)"), F.regexp_replace("xdoc", r"<price>\d+", "<price>x")
+    given = docs.select("item_type_id", F.inline(F.array(*[F.struct(F.lit(v).alias("version"), x.alias("xdoc")) for v, x in (
+        (1, F.regexp_replace("xdoc", r"<price>\d", "<price>9")), (2, F.col("xdoc")), (3, cut), (4, F.lit(None).cast("string")), (5, wrong))])))
+    books = documents.read_books(given, version="version")
+    kept = books.orders.groupBy("item_type_id").agg(F.count(F.lit(1)).alias("orders"), F.sum("price").alias("cents"))
+    refused = books.rejected.groupBy("item_type_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "version", "reason"))), ", ").alias("refused"))
+    return refused.join(kept, "item_type_id", "left")
+
+
 def _assets(spark, d):
     return stock.known_assets(documents.parse_assets(a.asset_docs(spark, d)), a.parts(spark, d))
 
