@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millwright.operators.numbering import number_by_hash
 
@@ -113,9 +113,25 @@ def upsert_regions(regions: DataFrame, source: DataFrame) -> DataFrame:
     return upsert(regions, source, ["region"])
 
 
+def _with_copies(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds ``_copies``, the rows that share a whole key. The upsert's join deals by the same keys, so this shuffles nothing more."""
+    return source.withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+
+
+def refused_parts(loaded: DataFrame) -> DataFrame:
+    """Loaded catalogue rows that ``upsert_parts`` leaves out, with ``reason``: no label, or a label loaded twice."""
+    counted = _with_copies(loaded.where("label is not null"), ["label"]).where("_copies > 1").drop("_copies")
+    return loaded.where("label is null").withColumn("reason", F.lit("no label")).unionByName(
+        counted.withColumn("reason", F.lit("label loaded twice")))
+
+
 def upsert_parts(parts: DataFrame, loaded: DataFrame, changed: str = "null_safe") -> DataFrame:
-    """Loaded catalogue rows into ``parts`` by label; new labels get ids, stock is kept."""
-    defaults = loaded.where(F.col("label").isNotNull()).withColumns({
+    """Loaded catalogue rows into ``parts`` by label; new labels get ids, stock is kept.
+
+    Rows without a label, and all rows of a label loaded twice, are left out; ``refused_parts`` returns them.
+    """
+    known = _with_copies(loaded.where(F.col("label").isNotNull()), ["label"]).where("_copies = 1").drop("_copies")
+    defaults = known.withColumns({
         "material_efficiency": F.coalesce("material_efficiency", F.lit(0)),
         "outcome_units": F.coalesce("outcome_units", F.lit(1)),
     })
@@ -124,16 +140,28 @@ def upsert_parts(parts: DataFrame, loaded: DataFrame, changed: str = "null_safe"
                   ["part_id", "label", *PART_UPDATES], changed)
 
 
-def upsert_edges(edges: DataFrame, loaded: DataFrame, parts: DataFrame) -> DataFrame:
-    """Loaded (good, part, quantity) rows into ``edges`` by resolved ids; only quantity changes."""
+def resolve_edges(loaded: DataFrame, parts: DataFrame) -> DataFrame:
+    """Loaded (good, part, quantity) rows with good_id, part_id, and ``reason`` if they cannot be stored, else null."""
     goods = parts.select(F.col("part_id").alias("good_id"), F.col("label").alias("good"))
     inputs = parts.select("part_id", F.col("label").alias("part"))
-    resolved = (
-        loaded.where(F.col("good").isNotNull())
-        .join(goods, "good", "left")
-        .join(inputs, "part", "left")
-        .select("good_id", "part_id", "good", "part", "quantity")
-    )
+    resolved = loaded.join(goods, "good", "left").join(inputs, "part", "left").select("good_id", "part_id", "good", "part", "quantity")
+    reason = (F.when(F.col("good_id").isNull(), "good not in catalogue").when(F.col("part_id").isNull(), "part not in catalogue")
+              .when(F.col("good_id") == F.col("part_id"), "good equals part").when(F.col("quantity").isNull(), "no quantity")
+              .when(F.col("_copies") > 1, "edge loaded twice"))
+    return _with_copies(resolved, ["good_id", "part_id"]).withColumn("reason", reason).drop("_copies")
+
+
+def refused_edges(loaded: DataFrame, parts: DataFrame) -> DataFrame:
+    """Loaded rows that ``upsert_edges`` leaves out, with ``reason``."""
+    return resolve_edges(loaded, parts).where("reason is not null").select("good", "part", "quantity", "reason")
+
+
+def upsert_edges(edges: DataFrame, loaded: DataFrame, parts: DataFrame) -> DataFrame:
+    """Loaded (good, part, quantity) rows into ``edges`` by resolved ids; only quantity changes.
+
+    A row whose labels are not in the catalogue, and all rows of an edge loaded twice, are left out; ``refused_edges`` returns them.
+    """
+    resolved = resolve_edges(loaded, parts).where("reason is null").drop("reason")
     source = assign_new_ids(edges, resolved, ["good_id", "part_id"], "edge_id")
     return upsert(edges, source, ["good_id", "part_id"], ["quantity"])
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millwright.operators.bom import bom_cycles
 
@@ -52,57 +52,83 @@ def _rows(df: DataFrame, rule: str, key: Column, detail: Column) -> DataFrame:
     return df.select(F.lit(rule).alias("rule"), key.cast("string").alias("key"), detail.cast("string").alias("detail"))
 
 
-def _missing_parent(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    ids = parent.select(F.col(parent_key).alias(column)).distinct()
-    return child.where(F.col(column).isNotNull()).join(ids, column, "left_anti")
+Rules = dict[str, tuple[Column, Column, Column]]
 
 
-def _row_checks(df: DataFrame, key: str, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """All rules that look at one row only, in a single pass: {rule: (violated, detail)}."""
+def _not_null(table: str, df: DataFrame, key: str, columns: tuple[str, ...]) -> Rules:
+    return {f"{table}.{c} not null": (F.col(c).isNull(), F.col(key), F.lit(c)) for c in columns if c in df.columns}
+
+
+def _checks(df: DataFrame, rules: Rules, known: dict[str, tuple[str, DataFrame, str, Column, Column]] | None = None,
+            unique: dict[str, list[str]] | None = None) -> DataFrame:
+    """(rule, key, detail) of all rules of a table in one pass over it: an array of the violations of each row.
+
+    ``rules`` has (violated, key, detail). ``known`` has for a foreign key (column, parent, parent key, key, detail): the parent's keys
+    join as a flag. ``unique`` has the key columns; the first of equal rows reports them, null keys do not collide.
+    """
+    found = dict(rules)
+    for rule, (column, parent, parent_key, key, detail) in (known or {}).items():
+        flag = f"_known_{len(df.columns)}"
+        ids = parent.select(F.col(parent_key).alias(column)).where(F.col(column).isNotNull()).distinct().withColumn(flag, F.lit(True))
+        df = df.join(ids, column, "left")
+        found[rule] = (F.col(column).isNotNull() & F.col(flag).isNull(), key, detail)
+    for rule, keys in (unique or {}).items():
+        n = len(df.columns)
+        present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        # rows without a whole key are dealt out by themselves, or they would all meet in one task
+        lone = F.when(~present, F.xxhash64(*df.columns))
+        df = df.withColumn(f"_lone_{n}", lone)
+        same = Window.partitionBy(*keys, f"_lone_{n}")
+        df = df.withColumn(f"_copies_{n}", F.count(F.lit(1)).over(same)).withColumn(f"_copy_{n}", F.row_number().over(same.orderBy(F.lit(1))))
+        found[rule] = (present & (F.col(f"_copies_{n}") > 1) & (F.col(f"_copy_{n}") == 1), F.col(keys[0]), F.col(keys[-1]))
     broken = [
-        F.when(violated, F.struct(F.lit(rule).alias("rule"), detail.cast("string").alias("detail")))
-        for rule, (violated, detail) in rules.items()
+        F.when(violated, F.struct(F.lit(rule).alias("rule"), key.cast("string").alias("key"), detail.cast("string").alias("detail")))
+        for rule, (violated, key, detail) in found.items()
     ]
-    rows = df.select(F.col(key).cast("string").alias("key"), F.explode(F.array_compact(F.array(*broken))).alias("_v"))
-    return rows.select("_v.rule", "key", "_v.detail")
+    return df.select(F.inline(F.array_compact(F.array(*broken))))
 
 
 def constraint_violations(parts: DataFrame, edges: DataFrame, tags: DataFrame, orders: DataFrame,
                           aggregates: DataFrame, regions: DataFrame) -> DataFrame:
-    """(rule, key, detail) for every declared NOT NULL, CHECK, UNIQUE and foreign key.
+    """(rule, key, detail) for every declared NOT NULL, CHECK, UNIQUE and foreign key, in one pass per table.
 
-    One pass per table for its row rules, one anti join per foreign key.
+    A null is reported by its NOT NULL rule alone. Columns a table does not have are not checked.
     """
-    def not_null(table: str, columns: tuple[str, ...]) -> dict[str, tuple[Column, Column]]:
-        return {f"{table}.{c} not null": (F.col(c).isNull(), F.lit(c)) for c in columns}
-
-    def side(table: str) -> dict[str, tuple[Column, Column]]:
-        return {f"{table} direction": (~F.col("direction").isin("BUY", "SELL"), F.col("direction"))}
-
-    def positive(table: str, columns: tuple[str, ...]) -> dict[str, tuple[Column, Column]]:
-        return {f"{table}.{c} positive": (F.col(c) <= 0, F.col(c)) for c in columns}
-
-    checks = [
-        _row_checks(parts, "part_id", not_null("part", ("label", "volume", "outcome_units"))),
-        _row_checks(edges, "edge_id", {
-            **not_null("edge", ("good_id", "part_id", "good", "part", "quantity")),
-            "edge good differs from part": (F.col("good") == F.col("part"), F.col("good"))}),
-        _row_checks(orders, "part_id", {**side("order"), **positive("order", ("price", "quantity", "min_qty"))}),
-        _row_checks(aggregates, "part_id", {**side("aggregate"), **positive("aggregate", ("price_average",))}),
-        _rows(duplicates(edges, ["good_id", "part_id"]), "edge unique", F.col("good_id"), F.col("part_id")),
-        _rows(duplicates(tags, ["part_id", "keyword"]), "tag unique", F.col("part_id"), F.col("keyword")),
-        _rows(_missing_parent(tags, "part_id", parts, "part_id"), "tag.part_id in catalogue",
-              F.col("part_id"), F.col("keyword")),
-    ]
-    for column in ("good_id", "part_id"):
-        checks.append(_rows(_missing_parent(edges, column, parts, "part_id"), f"edge.{column} in catalogue",
-                            F.col("edge_id"), F.col(column)))
-    for name, df in (("order", orders), ("aggregate", aggregates)):
-        checks.append(_rows(_missing_parent(df, "part_id", parts, "part_id"), f"{name}.part_id in catalogue",
-                            F.col("part_id"), F.col("direction")))
-        checks.append(_rows(_missing_parent(df, "region", regions, "region"), f"{name}.region known",
-                            F.col("part_id"), F.col("region")))
-    return reduce(DataFrame.unionByName, checks)
+    def side(table: str) -> Rules:
+        return {f"{table} direction": (~F.col("direction").isin("BUY", "SELL"), F.col("part_id"), F.col("direction"))}
+
+    def positive(table: str, columns: tuple[str, ...]) -> Rules:
+        return {f"{table}.{c} positive": (F.col(c) <= 0, F.col("part_id"), F.col(c)) for c in columns}
+
+    def catalogue(rule: str, column: str, key: str, detail: str):
+        return {rule: (column, parts, "part_id", F.col(key), F.col(detail))}
+
+    def region(table: str):
+        return {f"{table}.region known": ("region", regions, "region", F.col("part_id"), F.col("region"))}
+
+    return reduce(DataFrame.unionByName, [
+        _checks(parts, _not_null("part", parts, "part_id", ("part_id", "label", "volume", "outcome_units")), unique={"part unique": ["part_id"]}),
+        _checks(edges, {
+            **_not_null("edge", edges, "edge_id", ("edge_id", "good_id", "part_id", "good", "part", "quantity")),
+            "edge good differs from part": (F.col("good") == F.col("part"), F.col("edge_id"), F.col("good"))},
+            {**catalogue("edge.good_id in catalogue", "good_id", "edge_id", "good_id"),
+             **catalogue("edge.part_id in catalogue", "part_id", "edge_id", "part_id")},
+            {"edge unique": ["good_id", "part_id"]}),
+        _checks(tags, _not_null("tag", tags, "part_id", ("part_id", "keyword")),
+                catalogue("tag.part_id in catalogue", "part_id", "part_id", "keyword"), {"tag unique": ["part_id", "keyword"]}),
+        _checks(regions, _not_null("region", regions, "region", ("region", "name_region")),
+                unique={"region unique": ["region"], "region name unique": ["name_region"]}),
+        _checks(orders, {
+            **_not_null("order", orders, "part_id", ("part_id", "direction", "system_name", "region", "price", "quantity", "min_qty",
+                                                     "expires", "time_quotes_exec")),
+            **side("order"), **positive("order", ("price", "quantity", "min_qty"))},
+            {**catalogue("order.part_id in catalogue", "part_id", "part_id", "direction"), **region("order")}),
+        _checks(aggregates, {
+            **_not_null("aggregate", aggregates, "part_id", ("part_id", "direction", "region", "samples", "price_top", "price_average",
+                                                             "time_quotes_exec")),
+            **side("aggregate"), **positive("aggregate", ("price_average",))},
+            {**catalogue("aggregate.part_id in catalogue", "part_id", "part_id", "direction"), **region("aggregate")}),
+    ])
 
 
 def load_violations(parts: DataFrame, edges: DataFrame) -> DataFrame:
@@ -113,6 +139,7 @@ def load_violations(parts: DataFrame, edges: DataFrame) -> DataFrame:
         _rows(duplicates(parts, ["external_id"]), "duplicate external id", F.col("external_id"), F.col("copies")),
         _rows(self_loops(edges), "good equals part", F.col("good"), F.col("part")),
         _rows(orphan_edges(edges, parts), "not in catalogue", F.col("missing"), F.col("good")),
+        _rows(duplicates(edges, ["good", "part"]), "edge loaded twice", F.col("good"), F.col("part")),
     ]
     if cycles is not None:
         checks.append(_rows(cycles, "cycle", F.col("good_id"), F.array_join("path", ">")))

@@ -241,6 +241,35 @@ def test_constraint_violations(spark):
                    ("order.region known", "8"), ("order.quantity positive", "1"), ("aggregate.price_average positive", "1")}
 
 
+def test_nulls_are_violations(spark):
+    schema = "part_id bigint, direction string, region bigint, price bigint, quantity bigint, min_qty bigint"
+    orders = spark.createDataFrame([(1, "SELL", 1, None, 2, 1), (None, "BUY", 1, 5, None, 1), (1, None, None, 5, 1, None)], schema)
+    parts = parts_of(spark, [(1, "A", {}), (1, "B", {}), (2, None, {})])
+    got = sorted(((r.rule, r.key, r.detail) for r in quality.constraint_violations(
+        parts, edges_of(spark, [(1, 2, 1)]), tags_of(spark, [(1, None), (1, None), (None, "X")]), orders,
+        aggregates_of(spark, [(1, "BUY", 1, None, 5, 5)]), regions_of(spark, [(1, "A"), (1, "B"), (None, "B"), (4, None)])).collect()), key=lambda r: (r[0], r[1] or "", r[2]))
+    assert got == sorted([
+        ("aggregate.samples not null", "1", "samples"), ("order.direction not null", "1", "direction"), ("order.min_qty not null", "1", "min_qty"),
+        ("order.part_id not null", None, "part_id"), ("order.price not null", "1", "price"), ("order.quantity not null", None, "quantity"),
+        ("order.region not null", "1", "region"), ("part unique", "1", "1"), ("part.label not null", "2", "label"),
+        ("region name unique", "B", "B"), ("region unique", "1", "1"), ("region.name_region not null", "4", "name_region"),
+        ("region.region not null", None, "region"), ("tag.keyword not null", "1", "keyword"), ("tag.keyword not null", "1", "keyword"),
+        ("tag.part_id not null", None, "part_id")], key=lambda r: (r[0], r[1] or "", r[2]))
+
+
+def test_ambiguous_and_unresolved_edges_are_refused(spark):
+    parts = parts_of(spark, [(1, "A", {}), (2, "B", {}), (3, "C", {})])
+    loaded = spark.createDataFrame([("A", "B", 1), ("A", "B", 2), ("A", "NOPE", 3), ("A", "C", 4), (None, "C", 1), ("C", "C", 1), ("B", "C", None)],
+                                   "good string, part string, quantity int")
+    assert rows_of(merge.upsert_edges(edges_of(spark, []), loaded, parts).select("good_id", "part_id", F.col("quantity").cast("int"))) == [(1, 3, 4)]
+    assert sorted((r.good or "", r.part, r.reason) for r in merge.refused_edges(loaded, parts).collect()) == [
+        ("", "C", "good not in catalogue"), ("A", "B", "edge loaded twice"), ("A", "B", "edge loaded twice"), ("A", "NOPE", "part not in catalogue"),
+        ("B", "C", "no quantity"), ("C", "C", "good equals part")]
+    twice = parts.select(*[c for c in parts.columns if c != "part_id"]).unionByName(parts.where("label = 'A'").drop("part_id"))
+    assert [r.label for r in merge.refused_parts(twice).collect()] == ["A", "A"]
+    assert sorted(r.label for r in merge.upsert_parts(parts.where("label = 'C'"), twice).collect()) == ["B", "C"]
+
+
 def test_region_conflicts(spark):
     df = regions_of(spark, [(1, "A"), (1, "B"), (2, "C"), (3, "C"), (4, "D"), (4, "D")])
     assert rows_of(quality.region_conflicts(df), "region", "name_region") == [(1, "A"), (1, "B"), (2, "C"), (3, "C")]

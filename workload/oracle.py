@@ -182,7 +182,7 @@ CTES["old_prices"] = depth("early")
 CTES["new_prices"] = depth("large")
 CTES["broken"] = "SELECT *, CASE WHEN p_size <> 49 THEN vol_milli END AS volume FROM parts WHERE p_size <> 50"
 CTES["twice"] = "SELECT * FROM edges UNION ALL SELECT * FROM edges WHERE qty100 = 500"
-CTES["cheap"] = "SELECT part_id, direction, region, price - 20000 AS price, quantity, min_qty FROM orders_"
+CTES["cheap"] = "SELECT part_id, direction, region, price - 20000 AS price, CASE WHEN quantity <> 7 THEN quantity END AS quantity, min_qty FROM orders_"
 CTES["walk"] = """SELECT part_id, direction, region, price, quantity, price AS top,
     row_number() OVER (PARTITION BY part_id, direction, region ORDER BY CASE WHEN direction='SELL' THEN price ELSE -price END, quantity) AS rn
   FROM orders_"""
@@ -385,13 +385,29 @@ O["constraint_violations"] = """SELECT 'part.volume not null' AS rule, part_id::
   UNION ALL SELECT 'edge unique', good_id::VARCHAR, part_id::VARCHAR FROM twice GROUP BY good_id, part_id HAVING count(*) > 1
   UNION ALL SELECT 'edge.good_id in catalogue', edge_id::VARCHAR, good_id::VARCHAR FROM twice WHERE good_id NOT IN (SELECT part_id FROM broken)
   UNION ALL SELECT 'edge.part_id in catalogue', edge_id::VARCHAR, part_id::VARCHAR FROM twice WHERE part_id NOT IN (SELECT part_id FROM broken)
-  UNION ALL SELECT 'tag.part_id in catalogue', part_id::VARCHAR, keyword FROM tags WHERE part_id NOT IN (SELECT part_id FROM broken)
+  UNION ALL SELECT 'tag.part_id in catalogue', part_id::VARCHAR, keyword FROM tags
+    WHERE keyword <> 'STRATEGIC CRUISERS' AND part_id NOT IN (SELECT part_id FROM broken)
+  UNION ALL SELECT 'tag.part_id not null', NULL, 'part_id' FROM tags WHERE keyword = 'STRATEGIC CRUISERS'
+  UNION ALL SELECT 'region.name_region not null', '2', 'name_region'
+  UNION ALL SELECT 'order.quantity not null', part_id::VARCHAR, 'quantity' FROM cheap WHERE quantity IS NULL
+  UNION ALL SELECT 'aggregate.samples not null', part_id::VARCHAR, 'samples' FROM aggregates WHERE samples % 10 = 0
   UNION ALL SELECT 'order.part_id in catalogue', part_id::VARCHAR, direction FROM cheap WHERE part_id NOT IN (SELECT part_id FROM broken)
   UNION ALL SELECT 'order.region known', part_id::VARCHAR, region::VARCHAR FROM cheap WHERE region = 4
   UNION ALL SELECT 'aggregate.part_id in catalogue', part_id::VARCHAR, direction FROM aggregates WHERE part_id NOT IN (SELECT part_id FROM broken)
   UNION ALL SELECT 'aggregate.region known', part_id::VARCHAR, region::VARCHAR FROM aggregates WHERE region = 4
   UNION ALL SELECT 'order.price positive', part_id::VARCHAR, price::VARCHAR FROM cheap WHERE price <= 0"""
 
+_loaded = """SELECT good_id, good, qty100, CASE WHEN qty100 = 400 THEN 'NO ' || part WHEN qty100 = 300 THEN good ELSE part END AS part FROM edges
+  UNION ALL SELECT good_id, good, qty100, part FROM edges WHERE qty100 = 500"""
+O["load_violations"] = f"""SELECT 'duplicate label' AS rule, label AS key, '2' AS detail FROM parts WHERE part_id % 50 = 0
+  UNION ALL SELECT 'duplicate external id', external_id::VARCHAR, '2' FROM parts WHERE part_id % 50 = 0 AND external_id IS NOT NULL
+  UNION ALL SELECT 'good equals part', good, part FROM ({_loaded}) WHERE good = part
+  UNION ALL SELECT 'not in catalogue', part, good FROM ({_loaded}) WHERE part LIKE 'NO %'
+  UNION ALL SELECT 'edge loaded twice', good, part FROM ({_loaded}) GROUP BY good, part HAVING count(*) > 1"""
+O["refused_edges"] = f"""SELECT good, part, (qty100/100.0)::DOUBLE AS quantity, CASE WHEN part LIKE 'NO %' THEN 'part not in catalogue'
+    WHEN part = good THEN 'good equals part' ELSE 'edge loaded twice' END AS reason FROM ({_loaded}) WHERE qty100 IN (300, 400, 500)
+  UNION ALL SELECT good, part, (qty100/100.0)::DOUBLE, 'stored' FROM edges WHERE qty100 NOT IN (300, 400, 500)"""
+
 # --- market
 O["order_depth_average"] = "SELECT * FROM aggregates"
 O["order_depth_hot_groups"] = "SELECT * FROM aggregates"

@@ -426,9 +426,31 @@ def constraint_violations(spark, d):
     t = a.snapshot(spark, d)
     broken = t.parts.join(a.read(spark, d, "part").select(F.col("p_partkey").alias("part_id"), "p_size"), "part_id")
     broken = broken.where(F.col("p_size") != 50).withColumn("volume", F.when(F.col("p_size") != 49, F.col("volume"))).drop("p_size")
-    book = a.orders(spark, d).withColumn("price", F.col("price") - 20_000)
-    return quality.constraint_violations(broken, t.edges.unionByName(t.edges.where("quantity = 5")), t.tags, book,
-                                         t.aggregates, t.regions.where("region <> 4"))
+    book = a.orders(spark, d).withColumn("price", F.col("price") - 20_000).withColumn(
+        "quantity", F.when(F.col("quantity") != 7, F.col("quantity")))
+    tags = t.tags.withColumn("part_id", F.when(F.col("keyword") != "STRATEGIC CRUISERS", F.col("part_id")))
+    figures = t.aggregates.withColumn("samples", F.when(F.col("samples") % 10 != 0, F.col("samples")))
+    named = t.regions.where("region <> 4").withColumn("name_region", F.when(F.col("region") != 2, F.col("name_region")))
+    return quality.constraint_violations(broken, t.edges.unionByName(t.edges.where("quantity = 5")), tags, book, figures, named)
+
+
+@query
+def load_violations(spark, d):
+    """Catalogue files with labels and ids twice, edges twice, unknown parts, and goods made of themselves."""
+    parts, edges = a.parts(spark, d), a.edges(spark, d).select("good", "part", "quantity")
+    part = F.when(F.col("quantity") == 4, F.concat(F.lit("NO "), "part")).when(F.col("quantity") == 3, F.col("good")).otherwise(F.col("part"))
+    return quality.load_violations(parts.unionByName(parts.where("part_id % 50 = 0")),
+                                   edges.withColumn("part", part).unionByName(edges.where("quantity = 5")))
+
+
+@query
+def refused_edges(spark, d):
+    """The same edges, resolved: what the upsert leaves out, and how many rows it has after taking in the rest."""
+    parts, edges = a.parts(spark, d), a.edges(spark, d)
+    part = F.when(F.col("quantity") == 4, F.concat(F.lit("NO "), "part")).when(F.col("quantity") == 3, F.col("good")).otherwise(F.col("part"))
+    loaded = edges.select("good", part.alias("part"), "quantity").unionByName(edges.where("quantity = 5").select("good", "part", "quantity"))
+    stored = merge.upsert_edges(edges.where("quantity < 2"), loaded, parts)
+    return merge.refused_edges(loaded, parts).unionByName(stored.select("good", "part", "quantity", F.lit("stored").alias("reason")))
 
 
 # --- market ---------------------------------------------------------------------------
