@@ -25,10 +25,8 @@ class Params:
     order_relevancy_days: int = 2
     spread_overshoot: int = 7
     deep_transport_m3: int = 71_500
-    freighter_m3: int = 707_000
     jump_freighter_m3: int = 348_000
     build_list_transport_m3: int = 80_500
-    fetches_per_second: int = 5
     build_cost_multiplier: Decimal = Decimal("1.03")
     sales_cost_multiplier: Decimal = Decimal("1.02")
     hub_region: int = 10_000_002

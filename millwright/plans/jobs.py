@@ -71,13 +71,14 @@ class Market:
 
 
 def refresh_market(current: Market, docs: DataFrame, parts: DataFrame, now: datetime, security: Decimal,
-                   params: Params = Params(), version: str = "cached_until", regions: Sequence[int] | None = None) -> Market:
+                   params: Params = Params(), version: str = "cached_until", everywhere: bool = True) -> Market:
     """Fresh order-book documents (item_type_id, xdoc, ``version`` if there are several of an item) into orders and aggregates.
 
-    All orders of a refreshed item are replaced by those of its newest document, of ``regions`` only if given; only refreshed
-    items are priced again. Refused documents refresh nothing: their items keep what they had. Each document is parsed once.
+    All orders of a refreshed item are replaced by those of its newest document; only refreshed items are priced again.
+    ``everywhere=False`` reads the orders of ``params.regions_of_interest`` alone. Refused documents refresh nothing: their
+    items keep what they had. Each document is parsed once.
     """
-    books = read_books(docs, version=version, regions=regions)
+    books = read_books(docs, version=version, regions=None if everywhere else params.regions_of_interest)
     items = parts.where(F.col("external_id").isNotNull()).select(
         F.col("external_id").alias("item_type_id"), "part_id")
     stamp = F.lit(now).cast("timestamp_ntz").alias("time_quotes_exec")
