@@ -37,8 +37,8 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_table_path(spark, "token-files")
-    files = token_files.write(_table(spark, sf_dir, "documents"), folder, TOKENIZER)
-    return token_files.read(spark, folder, files)
+    token_files.write(_table(spark, sf_dir, "documents"), folder, TOKENIZER)
+    return token_files.read(spark, folder)
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_table_path(spark, "warc")
     warc.write(_table(spark, sf_dir, "pages"), folder)
-    return warc.page_records(warc.read(spark, folder, payloads=False))
+    return warc.page_records(warc.without_gaps(warc.read(spark, folder, payloads=False)))
 
 
 def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,6 +115,11 @@ def parse(data: bytes) -> tuple[int | None, np.ndarray]:
     return doc_id if known else None, np.frombuffer(data, f"<u{width}", offset=HEADER.size)
 
 
+def indexed_bytes(index: bytes) -> int:
+    """Bytes of all records an index names."""
+    return sum(n for _, n, _ in ENTRY.iter_unpack(index))
+
+
 def records(folder: str, name: str, order: list[int] | None = None):
     """Records of one file by its index, in file order or in a given order of entries."""
     system, path = shared_files.opened(folder)
@@ -144,6 +149,14 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def together(self, words: list[str]) -> list[bytes]:
+        """Ids of words, each behind a space, from one text of them all; a token belongs to the word its offset lies in."""
+        found = self.tokenizer.encode("".join([" " + w for w in words]), add_special_tokens=False)
+        ids = np.array(found.ids, f"<u{self.width}").tobytes()
+        at = np.array([start for start, _ in found.offsets], np.int64)
+        ends = (np.searchsorted(at, np.cumsum([len(w) + 1 for w in words])) * self.width).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
     def by_word(self, text: str) -> bool:
         return not (UNSAFE.search(text) or any(s in text for s in self.special))
 
@@ -155,7 +168,7 @@ class Encoder:
         new = list({w for parts in cut if parts for w in parts[1:]} - self.words.keys())
         for start in range(0, len(new), 2000):
             some = new[start : start + 2000]
-            self.words.update(zip(some, self.whole([" " + w for w in some])))
+            self.words.update(zip(some, self.together(some)))
         look, out = self.words.__getitem__, []
         for text, parts in zip(texts, cut):
             front = self.whole([parts[0] if parts else text])[0] if text else b""
@@ -169,7 +182,7 @@ def _encoder(definition: str, end_id: int, most: int) -> Encoder:
 
 
 def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = 0, id_column: str = "doc_id",
-          text: str = "text", file_bytes: int = 8 << 20, cached_words: int = 150_000) -> DataFrame:
+          text: str = "text", file_bytes: int = 8 << 20, cached_words: int = 500_000) -> DataFrame:
     """Write all documents in ascending order of id; returns the list of files (name, n_docs, n_tokens), stored."""
     shared_files.make_folder(folder)
     with open(tokenizer_file, encoding="utf-8") as f:
@@ -209,27 +222,35 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = 0, id
     return materialize(ordered.mapInArrow(run, "name string, n_docs long, n_tokens long"), "token-files")
 
 
-def read(spark: SparkSession, folder: str, files: DataFrame, id_column: str = "doc_id") -> DataFrame:
+def read(spark: SparkSession, folder: str, id_column: str = "doc_id") -> DataFrame:
     """Per record: id, start (tokens of all records before), n_tokens, ids_crc32 of the ids as 32-bit integers.
 
-    Files are opened by Spark's binary reader. A bad frame raises: there is no silent gap.
-    The start of a file is a running sum over one row per file.
+    Everything is taken from the files: records are read in the order of their index, and the start of a file is a running
+    sum over one row per file, in the order of names. A bad frame, a record file without an index or an index without
+    one, and bytes the index does not name raise: there is no silent gap.
     """
-    opened = spark.read.format("binaryFile").option("pathGlobFilter", "*.rec").load(folder)
-    opened = opened.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
+    listed = spark.read.format("binaryFile").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length"))
+    stem = F.regexp_extract("file", r"^(.*)\.(rec|idx)$", 1).alias("name")
+    record_files = listed.where(F.col("file").endswith(".rec")).select(stem, "length")
+    indexes = (spark.read.format("binaryFile").option("pathGlobFilter", "*.idx").load(folder)
+               .select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").select(stem, "content"))
+    paired = record_files.join(indexes, "name", "full").select("name", "length", "content", F.assert_true(
+        F.col("length").isNotNull() & F.col("content").isNotNull(), F.concat(F.lit("record file or index missing: "), "name")).alias("_whole"))
 
     def rows(batch):
         for row in batch:
-            content, at, before = memoryview(row["content"]), 0, 0
-            while at < len(content):
-                data, at = unframe(content, at)
-                doc_id, ids = parse(data)
+            before = 0
+            if indexed_bytes(row["content"]) != row["length"]:
+                raise BadRecord(f"{row['name']}: the index names other bytes than the file has")
+            for doc_id, ids in records(folder, f"{row['name']}.rec"):
                 yield {"name": row["name"], "id": doc_id, "before": before, "n_tokens": len(ids),
                        "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes())}
                 before += len(ids)
 
-    found = map_rows(opened, rows, "name string, id long, before long, n_tokens long, ids_crc32 long", at_once=1)
+    found = map_rows(paired.where("_whole is null"), rows, "name string, id long, before long, n_tokens long, ids_crc32 long", at_once=1)
+    found = materialize(found, "token-records")
     behind = Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("name", F.coalesce(F.sum("n_tokens").over(behind), F.lit(0)).alias("file_start"))
+    per_file = found.groupBy("name").agg(F.sum("n_tokens").alias("n_tokens"))
+    starts = per_file.select("name", F.coalesce(F.sum("n_tokens").over(behind), F.lit(0)).alias("file_start"))
     return found.join(starts, "name").select(
         F.col("id").alias(id_column), (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")

@@ -70,19 +70,27 @@ def member(data: bytes, level: int = 1) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
+BLANK_LINE = re.compile(rb"\r?\n\r?\n")
+
+
 class Damaged(ValueError):
     pass
 
 
 def _plain_record(data: memoryview, at: int) -> tuple[dict[str, str], memoryview, int]:
     """Headers, block and end of the record at ``at``; raises Damaged."""
-    front = bytes(data[at : at + 65_536])
-    version = VERSION_LINE.match(front)
+    size = 65_536
+    version = VERSION_LINE.match(bytes(data[at : at + size]))
     if not version:
         raise Damaged("no version line")
-    stop = re.compile(rb"\r?\n\r?\n").search(front, version.end() - 1)
-    if not stop:
-        raise Damaged("headers do not end")
+    while True:  # headers may be of any length
+        front = bytes(data[at : at + size])
+        stop = BLANK_LINE.search(front, version.end() - 1)
+        if stop:
+            break
+        if at + size >= len(data):
+            raise Damaged("headers do not end")
+        size *= 4
     headers = {}
     for line in front[version.end() : stop.start()].splitlines():
         name, colon, value = line.partition(b":")
@@ -180,7 +188,8 @@ def _next_version(content: bytes, start: int) -> int:
 def with_roles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """(page_id, url, payload, refers_to): which pages repeat the payload of a larger page id.
 
-    Counted with map-side combine; only payloads held more than once take part in the join.
+    Counted by digest with map-side combine. The rows of all pages are joined with the digests held more than once; where
+    those are too many to broadcast, that shuffles the payloads once.
     """
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -262,6 +271,12 @@ def describe(headers: dict[str, str], block: bytes, payloads: bool) -> dict:
     return out | {"payload_bytes": len(payload), "payload_digest": base32_sha1(payload), "payload": payload if payloads else None}
 
 
+def without_gaps(records: DataFrame) -> DataFrame:
+    """The same rows; a gap raises. For archives that were written whole."""
+    lost = F.raise_error(F.concat_ws(" ", F.lit("gap in"), "file", "offset", "reason"))
+    return records.where(F.when(F.col("kind") == "record", True).otherwise(lost.cast("boolean")))
+
+
 def page_records(records: DataFrame) -> DataFrame:
     """Records as pages: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     number = lambda c: F.expr(f"try_cast(nullif(regexp_extract({c}, '<{URN}(-?[0-9]*)>', 1), '') as bigint)")

@@ -92,13 +92,55 @@ def test_stretches_of_a_text_in_pieces(monkeypatch):
 def test_token_files(spark, odd, none):
     folder = new_table_path(spark, "tokens")
     files = token_files.write(odd, folder, queries.TOKENIZER, file_bytes=5000)
-    same(token_files.read(spark, folder, files), ["doc_id", "start", "n_tokens", "ids_crc32"], brute.token_files(_rows()))
+    same(token_files.read(spark, folder), ["doc_id", "start", "n_tokens", "ids_crc32"], brute.token_files(_rows()))
     name = files.orderBy(F.desc("n_docs")).first()["name"]
     in_order = list(token_files.records(folder, name))
     shuffled = list(token_files.records(folder, name, list(range(len(in_order)))[::-1]))
     assert [i for i, _ in shuffled] == [i for i, _ in in_order][::-1]
     empty = new_table_path(spark, "tokens")
-    assert token_files.read(spark, empty, token_files.write(none, empty, queries.TOKENIZER)).count() == 0
+    assert token_files.write(none, empty, queries.TOKENIZER).count() == 0 and token_files.read(spark, empty).count() == 0
+
+
+def test_token_files_that_do_not_fit_their_index(spark, none, odd):
+    """A record file or an index that is missing, and bytes behind the last record of the index, raise."""
+    for change in ("rec", "idx", "more"):
+        folder = new_table_path(spark, "tokens")
+        token_files.write(odd, folder, queries.TOKENIZER, file_bytes=5000)
+        path = folder.removeprefix("file:")
+        name = sorted(f for f in os.listdir(path) if f.endswith("idx" if change == "idx" else "rec"))[1]
+        if change == "more":
+            with open(f"{path}/{name}", "ab") as f:
+                f.write(b"rest")
+        else:
+            os.remove(f"{path}/{name}")
+        with pytest.raises(Exception, match="missing|other bytes"):
+            token_files.read(spark, folder).count()
+
+
+def test_words_are_encoded_together_as_apart():
+    with open(queries.TOKENIZER, encoding="utf-8") as f:
+        encoder = token_files.Encoder(f.read(), 0, 100)
+    words = ["plain", "don't", "x1,2", "Éclat", "日本語", "\U0001f600\U0001f600!", "tab\tinside", "end\n\n", "a" * 300, "..."] * 2
+    assert encoder.together(words) == encoder.whole([" " + w for w in words])
+
+
+def test_very_long_headers_are_read(spark):
+    """A header block of a megabyte is a record like any other; a damaged archive makes the round trip fail."""
+    pages = spark.createDataFrame([(1, "http://a/", "x"), (2, "http://a/?" + "q" * 1_000_000, "y"), (3, "http://b/?" + "r" * 70_000, "x")],
+                                  "page_id long, url string, html string")
+    folder = new_table_path(spark, "warc")
+    warc.write(pages, folder)
+    read = warc.read(spark, folder)
+    assert sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.page_records(warc.without_gaps(read)).collect()) == [
+        (1, "revisit", 3), (2, "response", None), (3, "response", None)]
+    assert max(len(r["target_uri"]) for r in read.collect()) > 1_000_000
+    path = folder.removeprefix("file:")
+    name = next(f for f in os.listdir(path) if f.endswith(".gz"))
+    with open(f"{path}/{name}", "r+b") as f:
+        f.seek(30)
+        f.write(b"\0\0\0\0")
+    with pytest.raises(Exception, match="gap in"):
+        warc.without_gaps(warc.read(spark, folder)).count()
 
 
 def test_record_frames():
