@@ -34,7 +34,7 @@ from millwright.session import materialize
 
 BANDS, ROWS = 50, 6
 BINS = BANDS * ROWS
-FREQUENCIES, FILTER = 1 << 16, 1 << 15  # sizes of the table of step 3 and of the filter of documents
+FREQUENCIES, FILTER = 1 << 18, 1 << 15  # sizes of the table of step 3 and of the filter of documents
 M1, M2, M3 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
 

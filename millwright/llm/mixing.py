@@ -89,7 +89,7 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, block: int = 32,
     """Per document: id, source, size, source_size, target, and its blocks of the mix.
 
     The run of words of a document starts ``start`` words into its shard, which has ``n_blocks`` blocks and a quota.
-    ``row`` names a column that is carried along.
+    ``row`` names a column that is carried along; a key to join texts by, rather than texts.
     """
     sized = docs.select(F.col(id_column), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"),
                         F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("_text"), *([row] if row else []))
@@ -137,6 +137,17 @@ def taken(mixed: DataFrame, block: int = 32, seed: int = 7) -> DataFrame:
     return mixed.withColumn("taken", F.when(F.col("size") > 0, whole + more).otherwise(0).cast("long"))
 
 
+def mixed_rows(docs: DataFrame, columns: list[str], block: int = 32, seed: int = 7) -> DataFrame:
+    """The mix of ``docs`` as rows of the same columns, see ``mixed_texts``. Only keys and sizes are mixed; texts are shuffled once, to join them.
+
+    ``docs`` is a stored table: its rows are numbered by their place in the files, alike in both reads.
+    """
+    placed = docs.select(*columns, F.monotonically_increasing_id().alias("_row"))
+    mixed = mix(placed, block=block, seed=seed, row="_row").where("quota > 0 and size > 0")
+    rows = mixed.select("_row", "start", "size", "quota", "n_blocks", "offset").join(placed.select("_row", F.struct(*columns).alias("row")), "_row")
+    return mixed_texts(rows, "row", block, seed).select(*columns)
+
+
 def mixed_texts(mixed: DataFrame, row: str, block: int = 32, seed: int = 7) -> DataFrame:
     """Rows of the mix: ``row`` (a struct with text and n_chars) for each pass over the document, with the words of that pass.
 

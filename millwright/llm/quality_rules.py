@@ -81,9 +81,10 @@ def _hashes(found: Column) -> Column:
 def ratios(docs: DataFrame, trusted: DataFrame, buckets: int, smooth: float, id_column: str = "doc_id") -> list[float]:
     """The log ratio of each bucket. ``trusted`` has the ids of the target; ids are compared, not texts.
 
-    Both corpora are counted in one pass: at most ``buckets`` rows per task, and for the driver."""
+    Both corpora are counted in one pass: at most ``buckets`` rows per task, and for the driver. The texts are dealt by id
+    once, whatever the size of ``trusted``, so that work and disk grow as the input does."""
     ids = trusted.select(F.col(id_column).alias("_id")).where("_id is not null").distinct().withColumn("_trusted", F.lit(1))
-    grams = (_texts(docs, id_column).join(ids, "_id", "left")
+    grams = (_texts(docs, id_column).join(ids.hint("merge"), "_id", "left")
              .select("_trusted", F.explode(let(_hashes(words(F.col("_t"))), lambda h: ngrams(h, neighbours(h, 1)))).alias("h"))
              .select("_trusted", bucket(F.col("h"), buckets).alias("b")))
     raw, target = [0] * buckets, [0] * buckets
@@ -111,7 +112,8 @@ def judge(docs: DataFrame, trusted: DataFrame, buckets: int = 1 << 16, smooth: f
         docs.select(F.col(id_column).alias("_id"), *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
                     F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_t"),
                     docs.sparkSession.createDataFrame([(table,)], "r array<double>").scalar().alias("_ratio"))
-        .withColumn("_m", let(words(F.col("_t")), measures)))
+        # generated, so that no filter on the verdict is pushed below and has all measures taken once more
+        .withColumn("_m", F.explode(F.array(let(words(F.col("_t")), measures)))))
     n, repeats = F.col("_m.n_words").cast("long"), F.col("_m.n_repeat_words")
     failed = (n < 20) | (100 * repeats > 30 * n)
     return measured.select(
