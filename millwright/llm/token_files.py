@@ -131,6 +131,9 @@ def records(folder: str, name: str, order: list[int] | None = None):
             yield parse(unframe(f.read(entries[k][1]), 0)[0])
 
 
+MARKS = [".", ",", ";", ":", "!", "?"]
+
+
 class Encoder:
     """A tokenizer with a bounded cache of the ids of words that stand behind a space."""
 
@@ -144,6 +147,7 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = np.array([end_id], f"<u{self.width}").tobytes()
         self.words: dict[str, bytes] = {}
+        self.marks = dict(zip(MARKS, self.whole(MARKS)))
         self.most = most
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -165,10 +169,14 @@ class Encoder:
         cut = [t.split(" ") if self.by_word(t) else None for t in texts]
         if len(self.words) >= self.most:
             self.words.clear()
-        new = list({w for parts in cut if parts for w in parts[1:]} - self.words.keys())
+        missing = {w for parts in cut if parts for w in parts[1:]} - self.words.keys()
+        # letters with one mark behind are two pieces of the pre-tokenizer: the letters may be known, or be needed for another mark
+        marked = [w for w in missing if w[-1:] in MARKS and w[:-1].isalpha()]
+        new = list(missing.difference(marked).union(c for w in marked if (c := w[:-1]) not in self.words))
         for start in range(0, len(new), 2000):
             some = new[start : start + 2000]
             self.words.update(zip(some, self.together(some)))
+        self.words.update([(w, self.words[w[:-1]] + self.marks[w[-1]]) for w in marked])
         look, out = self.words.__getitem__, []
         for text, parts in zip(texts, cut):
             front = self.whole([parts[0] if parts else text])[0] if text else b""

@@ -122,6 +122,9 @@ def test_words_are_encoded_together_as_apart():
         encoder = token_files.Encoder(f.read(), 0, 100)
     words = ["plain", "don't", "x1,2", "Éclat", "日本語", "\U0001f600\U0001f600!", "tab\tinside", "end\n\n", "a" * 300, "..."] * 2
     assert encoder.together(words) == encoder.whole([" " + w for w in words])
+    texts = ["One, two, One. two! Éclat? naïve; don't, x1, 日本, ab", "two two, ,, . a.b, two..", "mo²re, ªb, ab:"]
+    for _ in range(2):
+        assert encoder.encode(texts) == [ids + encoder.end for ids in encoder.whole(texts)]
 
 
 def test_very_long_headers_are_read(spark):
