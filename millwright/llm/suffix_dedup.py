@@ -15,8 +15,12 @@ are cut first, at places their content chooses:
 2. Only anchors found twice or more go on. Stretches that are equal as a whole repeat as a whole: they are counted, not compared.
 3. Of an anchor with different stretches, one copy of each stretch is a string of the collection, laid out so that anchors
    share a column; then only windows of one column can be equal, and the construction needs 2 * WIDTH - 32 rounds.
-   Anchors are dealt out by hash; an anchor with more than ``hot`` different stretches is instead
-   compared by counting hashes of its windows, which needs no group in one task. Both ways are exact.
+4. An anchor with more than ``hot`` strings is split by the bytes beside it, so no collection is unbounded: windows with
+   the anchor in one half of their columns all hold the same bytes around it, so strings meet again only where these are
+   equal (``halved``). Parts that are equal as a whole are counted, parts alone are done, and groups still too large are
+   halved again; after eight rounds a part is one window. A string gives two rows a round, not one per window.
+
+Stretches, documents and groups are told apart by 64-bit hashes; strings and their parts are compared by their bytes.
 
 The columns of a round are kept in memory, as a collection is bounded (``at_once`` strings), instead of in local files,
 which a lost executor would take along. Texts are shuffled only where a Bloom filter of fixed size says that a
@@ -198,16 +202,41 @@ def _concerned(docs: DataFrame, per_doc: DataFrame) -> DataFrame:
 
 def _strings(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """Adds the bytes of each chosen stretch."""
-    listed = chosen.groupBy("rid").agg(F.collect_list(F.struct("a", "n", "hot", "lo", "span", "off")).alias("list"))
+    listed = chosen.groupBy("rid").agg(F.collect_list(F.struct("g", "n", "size", "lo", "span", "off")).alias("list"))
     # the list is cut out of the text by Spark itself
     each = _concerned(docs, materialize(listed, "dedup-wanted")).dropDuplicates(["rid"]).select("rid", "raw", F.explode("list").alias("s"))
     return each.select("rid", "s.*", F.substr("raw", F.col("s.lo") + 1, F.col("s.span") + WIDTH).alias("string"))
 
 
+def halved(strings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One round of splitting groups: the strings of the smaller groups, and the spans found on the way.
+
+    ``u`` and ``v`` are the least and the greatest offset of the anchor in the windows of a group; each half of them is a
+    group for every sequence of bytes that its windows share around the anchor.
+    """
+    middle = F.expr("int(floor((u + v) / 2))")
+    both = F.array(F.struct(F.col("u").alias("from"), middle.alias("to")), F.struct((middle + 1).alias("from"), F.col("v").alias("to")))
+    parts = (strings.select("g", "n", "rid", "lo", "span", "off", "string", F.explode(both).alias("h"))
+             .withColumn("least", F.greatest(F.col("off") - F.col("span"), F.col("h.from")))
+             .withColumn("most", F.least(F.col("off").cast("int"), F.col("h.to"))).where("least <= most"))
+    shared = F.substr("string", F.col("off") - F.col("h.from") + 1, F.col("h.from") + WIDTH - F.col("h.to"))
+    parts = materialize(parts.select(
+        F.xxhash64("g", "h.from", "h.to", shared).alias("g"), F.col("h.from").alias("u"), F.col("h.to").alias("v"), "n", "rid",
+        (F.col("lo") + F.col("off") - F.col("most")).alias("lo"), (F.col("most") - F.col("least")).alias("span"), F.col("most").alias("off"),
+        F.substr("string", F.col("off") - F.col("most") + 1, F.col("most") - F.col("least") + WIDTH).alias("string")), "dedup-parts")
+    kinds = materialize(parts.groupBy("g", "u", "v", "string").agg(
+        F.sum("n").alias("n"), F.min(F.struct("rid", "lo", "span", "off")).alias("one")), "dedup-part-kinds")
+    found = (parts.where("n = 1").join(kinds.where("n > 1").select("g", "string"), ["g", "string"], "left_semi")
+             .select("rid", F.col("lo").alias("s"), (F.col("lo") + F.col("span") + WIDTH).alias("e")))
+    sizes = kinds.groupBy("g").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return materialize(kinds.join(sizes, "g").select("g", "u", "v", "n", "size", "one.*", "string"), "dedup-halved"), found
+
+
 def _by_columns(strings: DataFrame, at_once: int) -> DataFrame:
     """Spans of repeated windows by the column-wise construction, for stretches that occur once."""
     schema = "rid long, s int, e int"
     kind = pa_schema(strings, schema)
+    strings = strings.select("g", "n", "rid", "lo", "off", "string")
 
     def solve(rows: list[dict]) -> pa.RecordBatch:
         found = repeated_columns(lay_out([r["string"] for r in rows], [r["off"] for r in rows]))
@@ -222,39 +251,18 @@ def _by_columns(strings: DataFrame, at_once: int) -> DataFrame:
         waiting, last = [], None
         for batch in batches:
             for row in batch.to_pylist():
-                if len(waiting) >= at_once and row["a"] != last:
+                if len(waiting) >= at_once and row["g"] != last:
                     yield solve(waiting)
                     waiting = []
                 waiting.append(row)
-                last = row["a"]
+                last = row["g"]
         if waiting:
             yield solve(waiting)
 
-    return strings.repartition("a").sortWithinPartitions("a").mapInArrow(run, schema)
-
-
-def _by_windows(strings: DataFrame) -> DataFrame:
-    """The same for anchors with very many different stretches: count the hashes of all windows."""
-    schema = "a long, w long, rid long, p int, n long"
-    kind = pa_schema(strings, schema)
-
-    def run(batches):
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                out = []
-                for r in batch.slice(start, 500).to_pylist():
-                    out += [(r["a"], xxhash.xxh3_64_intdigest(r["string"][i : i + WIDTH]) - (1 << 63), r["rid"], r["lo"] + i, r["n"])
-                            for i in range(r["span"] + 1)]
-                columns = zip(*out) if out else ([],) * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], schema=kind)
-
-    windows = materialize(strings.select("a", "rid", "lo", "span", "n", "string").repartition("rid").mapInArrow(run, schema), "dedup-windows")
-    repeated = windows.groupBy("a", "w").agg(F.sum("n").alias("all")).where("all > 1").select("a", "w")
-    return (windows.where("n = 1").join(repeated, ["a", "w"], "left_semi")
-            .select("rid", F.col("p").alias("s"), (F.col("p") + WIDTH).alias("e")))
+    return strings.repartition("g").sortWithinPartitions("g").mapInArrow(run, schema)
 
 
-def spans(keyed: DataFrame, hot: int = 256, at_once: int = 8192) -> DataFrame:
+def spans(keyed: DataFrame, hot: int = 4096, at_once: int = 8192) -> DataFrame:
     """(rid, spans) for every document with a repeated string; ``keyed`` has rid and raw."""
     every = materialize(_all_stretches(keyed), "dedup-stretches")
     shared = (every.groupBy("a").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("x0"), F.max("x").alias("x1"))
@@ -266,14 +274,19 @@ def spans(keyed: DataFrame, hot: int = 256, at_once: int = 8192) -> DataFrame:
         "dedup-kinds")
     whole = found.where("not mixed").select("rid", *as_span).unionByName(
         found.where("mixed").join(kinds.where("n > 1").select("a", "x"), ["a", "x"], "left_semi").select("rid", *as_span))
-    per_anchor = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"))
-    chosen = kinds.join(per_anchor, "a").select("a", "n", (F.col("kinds") > hot).alias("hot"), "one.*")
-    strings = materialize(_strings(keyed, chosen), "dedup-strings")
-    parts = whole.unionByName(_by_columns(strings.where("not hot"), at_once)).unionByName(_by_windows(strings.where("hot")))
+    per_anchor = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("size"))
+    chosen = kinds.join(per_anchor, "a").select(F.col("a").alias("g"), "n", "size", "one.*")
+    strings = materialize(_strings(keyed, chosen), "dedup-strings").withColumns({"u": F.lit(0), "v": F.lit(SIDE)})
+    parts, large = whole, (F.col("size") > hot) & (F.col("u") < F.col("v"))
+    bounded = strings.where(~large)
+    while not strings.where(large).isEmpty():  # eight rounds at most
+        strings, certain = halved(strings.where(large))
+        parts, bounded = parts.unionByName(certain), bounded.unionByName(strings.where(~large), allowMissingColumns=True)
+    parts = parts.unionByName(_by_columns(bounded, at_once))
     return materialize(parts.groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "dedup-spans")
 
 
-def dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), hot: int = 256,
+def dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), hot: int = 4096,
           at_once: int = 8192) -> DataFrame:
     """Per document: id, n_bytes, n_removed, n_spans, kept (bytes), and the columns named by ``keep``."""
     raw = F.coalesce(F.col(text).cast("binary"), F.lit(b""))

@@ -4,8 +4,8 @@ The list is compared by canonical URL. A Bloom filter of fixed size (``blocks``
 sets ``BITS`` bits of one block) lets the pages through that can't be listed; only the possible hits
 are shuffled to an exact join on the canonical URL, which removes the false positives. The filter has
 32 bytes per block (512 KB by default), however long the list is: a longer list makes more
-possible hits, never a wrong verdict. Only its set 64-bit words come to the driver, four per
-block at most, and it goes out as one scalar.
+possible hits, never a wrong verdict. Only its bytes come to the driver, ``CHUNK`` 64-bit words in
+a row, and it goes out as one scalar.
 
 Defined results: a null URL, or one without ``://``, has empty host and path, fits no rule and is not listed;
 equal URLs are judged equally; an empty list blocks nothing; other columns are not read.
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millwright.session import materialize
 
 BITS = 6
+CHUNK = 256  # words of the filter in a row sent to the driver
 
 #: Fixed values: (host, path, verdict).
 RULES = (
@@ -77,9 +78,15 @@ def bloom(listed: DataFrame, blocks: int, column: str = "canonical") -> Column:
     mask = F.expr("shiftleft(cast(1 as bigint), bit & 63)")
     words = (bits.select((F.col("block") * 4 + F.shiftright("bit", 6)).alias("word"), mask.alias("mask"))
              .groupBy("word").agg(F.bit_or("mask").alias("mask")))
-    out = bytearray(32 * blocks)
-    for word, mask in words.collect():  # four per block at most
-        struct.pack_into("<q", out, 8 * word, mask)
+    # rows for the driver: a few KB of the filter each, not one word
+    each = F.transform(F.sequence(F.lit(0), F.lit(CHUNK - 1)), lambda i: F.lpad(F.hex(F.coalesce(F.col("masks")[i], F.lit(0).cast("long"))), 16, "0"))
+    chunks = (words.groupBy(F.floor(F.col("word") / CHUNK).alias("chunk"))
+              .agg(F.map_from_entries(F.collect_list(F.struct(F.col("word") % CHUNK, "mask"))).alias("masks"))
+              .select("chunk", F.unhex(F.array_join(each, "")).alias("raw")))
+    out = bytearray(-(-4 * blocks // CHUNK) * 8 * CHUNK)
+    for chunk, raw in chunks.collect():
+        struct.pack_into(f"<{CHUNK}q", out, 8 * CHUNK * chunk, *struct.unpack(f">{CHUNK}q", raw))
+    out = out[: 32 * blocks]
     return listed.sparkSession.createDataFrame([(out,)], "bits binary").scalar()
 
 

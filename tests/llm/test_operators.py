@@ -72,14 +72,37 @@ def test_long_pieces_fold_alike():
         assert byte_bpe._fold_long(piece, ranks) == byte_bpe.fold(piece, ranks)
 
 
-@pytest.mark.parametrize("hot", [256, 0])
+@pytest.mark.parametrize("hot", [256, 2, 0])
 def test_suffix_dedup(odd, none, hot):
-    """Both ways of comparing, with no anchor and with every anchor taken for hot."""
+    """No group is halved, those of over two strings are, and every group is down to single windows."""
     run = lambda d: suffix_dedup.dedup(d, keep=("source",), hot=hot, at_once=7).withColumn("sha", F.sha2("kept", 256))
     same(run(odd), ["doc_id", "n_bytes", "n_removed", "n_spans", "sha"], brute.repeated_strings(_rows()))
     assert run(none).count() == 0
 
 
+def test_a_hot_anchor_is_halved_by_two_rows_a_string(spark):
+    """Copies of one passage between texts of their own: a round has at most two parts per string, and no window is lost."""
+    rng = random.Random(9)
+    passage = "".join(rng.choices("abcdefgh ", k=330))
+    rows = [(i, "".join(rng.choices("ijklmnop ", k=90)) + passage + "".join(rng.choices("qrstuvwx ", k=90))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    run = suffix_dedup.dedup(docs, hot=8, at_once=16).withColumn("sha", F.sha2("kept", 256))
+    same(run, ["doc_id", "n_bytes", "n_removed", "n_spans", "sha"], brute.repeated_strings(rows))
+    strings = [(1, 0, suffix_dedup.SIDE, 1, 60, i, 0, 168, 168, t[50:418].encode()) for i, t in rows]
+    strings = spark.createDataFrame(strings, "g long, u int, v int, n long, size long, rid long, lo int, span int, off int, string binary")
+    found = set()
+    for _ in range(8):
+        before = strings.count()
+        strings, certain = suffix_dedup.halved(strings)
+        certain = certain.collect()
+        assert strings.count() <= 2 * before and len(certain) <= 2 * before
+        found |= {(r["rid"], p) for r in certain for p in range(r["s"], r["e"])}
+    assert strings.isEmpty()
+    windows = [t[50:418][i : i + 200] for _, t in rows for i in range(169)]
+    shared = {w for w in windows if windows.count(w) > 1}
+    assert found == {(i, p) for i, t in rows for s in range(169) if t[50:418][s : s + 200] in shared for p in range(s, s + 200)}
+
+
 def test_stretches_of_a_text_in_pieces(monkeypatch):
     raw = np.frombuffer(bytes(random.Random(2).choices(b"abc ", k=3000)), np.uint8)
     monkeypatch.setattr(suffix_dedup, "PIECE", 700)
