@@ -103,10 +103,17 @@ def _load_total(rows: DataFrame, quantity: str, capacity_m3: int) -> Column:
     return grand_total(rows, tenth_power(share, 1))
 
 
-def _list_columns(rows: DataFrame, t: Tables, lists: Sequence[str | None], keyword: str | None) -> list[Column]:
+def _shown(lists: Sequence[str | None] | DataFrame) -> Column:
+    """The lists as given, or how many a table of them holds."""
+    if isinstance(lists, DataFrame):
+        return lists.agg(F.concat(F.count(F.lit(1)), F.lit(" lists"))).scalar()
+    return F.lit(" ".join(text or "" for text in lists))
+
+
+def _list_columns(rows: DataFrame, t: Tables, lists: Sequence[str | None] | DataFrame, keyword: str | None) -> list[Column]:
     spent = F.sum(value_micro(F.col("price"), F.col("short"))).cast(WIDE_MONEY)
     return [
-        F.lit(" ".join(text or "" for text in lists)).alias("params"),
+        _shown(lists).alias("params"),
         initcap(F.lit(keyword).cast("string")).alias("keyword"),
         initcap(F.col("label")).alias("part"),
         "quantity_orig", "quantity", "pile", F.col("short").alias("shop_list"),
@@ -116,7 +123,7 @@ def _list_columns(rows: DataFrame, t: Tables, lists: Sequence[str | None], keywo
     ]
 
 
-def materials_for_builds(t: Tables, lists: Sequence[str | None], keyword: str | None = None,
+def materials_for_builds(t: Tables, lists: Sequence[str | None] | DataFrame, keyword: str | None = None,
                          bpc_runs: int | None = None, local: DataFrame | None = None,
                          short_only: bool = False, keep_unquoted: bool = False) -> DataFrame:
     """Everything the listed builds take, at all depths: need, stock, shortage, cost, cargo."""
@@ -134,7 +141,7 @@ def materials_for_builds(t: Tables, lists: Sequence[str | None], keyword: str |
     ).orderBy("part")
 
 
-def component_demand(t: Tables, lists: Sequence[str | None], bpc_runs: int | None = None) -> DataFrame:
+def component_demand(t: Tables, lists: Sequence[str | None] | DataFrame, bpc_runs: int | None = None) -> DataFrame:
     """(part_id, units_orig, units_copy): what the listed goods take, summed over all builds.
 
     Rows are chosen by the good an input goes into, wherever that good stands in a tree, so
@@ -156,7 +163,7 @@ def components_rebuild(t: Tables, demand: DataFrame, keyword: str | None = None)
     }))
 
 
-def materials_three_tier(t: Tables, lists: Sequence[str | None], keyword: str | None = None,
+def materials_three_tier(t: Tables, lists: Sequence[str | None] | DataFrame, keyword: str | None = None,
                          bpc_runs: int | None = None, local: DataFrame | None = None,
                          short_only: bool = False, keep_unquoted: bool = False) -> DataFrame:
     """Materials when components shared by the builds are made together."""

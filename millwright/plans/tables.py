@@ -69,12 +69,17 @@ def with_best_offer(df: DataFrame, t: Tables, local: DataFrame | None, keep_unqu
     return priced.drop("quoted")
 
 
-def build_units(t: Tables, lists: Sequence[str | None]) -> DataFrame:
-    """(part_id, units) of the items named in the build lists; the first list wins."""
-    given = [text for text in lists if text]
-    rows = [F.struct(F.lit(i).alias("priority"), F.lit(text).alias("list")) for i, text in enumerate(given)]
-    if not rows:
-        return t.parts.where(F.lit(False)).select("part_id", F.lit(0).cast("bigint").alias("units"))
-    lines = t.parts.sparkSession.range(1).select(F.inline(F.array(*rows)))
-    units = explode_build_lists(lines, [], "list", "priority").where(F.col("units").isNotNull())
+def build_units(t: Tables, lists: Sequence[str | None] | DataFrame) -> DataFrame:
+    """(part_id, units) of the items named in the build lists; the first list wins.
+
+    Lists are given as texts, or as a table (priority, list), a row per list. Of lists with equal priority, the one with the
+    least units wins; a null priority comes first; null and empty texts, and texts that are no list, name nothing.
+    """
+    if not isinstance(lists, DataFrame):
+        given = [text for text in lists if text]
+        rows = [F.struct(F.lit(i).alias("priority"), F.lit(text).alias("list")) for i, text in enumerate(given)]
+        if not rows:
+            return t.parts.where(F.lit(False)).select("part_id", F.lit(0).cast("bigint").alias("units"))
+        lists = t.parts.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    units = explode_build_lists(lists, [], "list", "priority").where(F.col("units").isNotNull())
     return t.parts.withColumn("label", F.upper("label")).join(units, "label").select("part_id", "units")

@@ -178,6 +178,22 @@ def test_small_queries(t):
     assert {r.remain for r in checks.remaining_count(t.parts).collect()} == {7}
 
 
+def test_lists_of_a_table_count_as_those_given_as_texts(spark, t):
+    given = ["2x{ship}", None, "9x{ship, frame}", "", "no list"]
+    rows = [(i, text) for i, text in enumerate(given)]
+    table = spark.createDataFrame(rows[::-1] + [(7, "5x{nothing known}"), (8, "3X{frame}")], "priority int, list string").repartition(3)
+    assert set(rows_of(build_units(t, table))) == set(rows_of(build_units(t, given)))
+    by_table = materials.materials_for_builds(t, table)
+    assert {r.params for r in by_table.collect()} == {"7 lists"}
+    assert rows_of(by_table.drop("params"), "part") == rows_of(materials.materials_for_builds(t, given).drop("params"), "part")
+    assert build_units(t, table.limit(0)).count() == 0
+
+
+def test_ties_of_lists_go_to_the_least_units(spark, t):
+    table = spark.createDataFrame([(1, "4x{ship}"), (1, "2x{ship}"), (2, "1x{ship}")], "priority int, list string")
+    assert [r.units for r in build_units(t, table).collect()] == [2]
+
+
 def test_no_lists(t):
     assert build_units(t, [None, ""]).count() == 0
     assert rows_of(build_units(t, ["5X{ship}"])) == []

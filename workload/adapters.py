@@ -87,6 +87,15 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def build_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(priority, list): a build list per order, naming all it asks for; the first order that names an item counts."""
+    labels = parts(spark, sf_dir).select("part_id", F.lower("label").alias("label"))
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_partkey").alias("part_id"), "l_quantity")
+    units, names = F.max("l_quantity").cast("bigint"), F.array_join(F.sort_array(F.collect_set("label")), ", ")
+    return lines.join(labels, "part_id").groupBy(F.col("l_orderkey").alias("priority")).agg(
+        F.concat(units, F.lit("x{"), names, F.lit("}")).alias("list"))
+
+
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("bigint").alias("region"), F.col("r_name").alias("name_region"))

@@ -137,7 +137,9 @@ CTES["breakeven"] = f"""SELECT produce_id, label AS produce, units AS outcome_un
   FROM paths JOIN buildable g ON g.part_id = produce_id JOIN best_local b ON b.part_id = paths.part_id
   WHERE leaf GROUP BY ALL)"""
 CTES["breakeven_any"] = CTES["breakeven"].replace("best_local", "best_any")
-CTES["list_units"] = "SELECT * FROM (VALUES (3,9),(5,9),(12,9),(8,5),(30,20),(77,20)) v(item, units)"
+CTES["list_units"] = """SELECT l_partkey AS item, arg_min(units, l_orderkey) AS units FROM lineitem JOIN (
+  SELECT l_orderkey, max(l_quantity)::BIGINT AS units FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part) GROUP BY l_orderkey)
+  USING (l_orderkey) GROUP BY l_partkey"""
 CTES["demand"] = f"""SELECT part_id, sum({six(fold(f'l.units::HUGEINT*{M12}'))}) AS u_orig, sum({q_copy('l.units', 4)}) AS u_copy
   FROM paths JOIN list_units l ON l.item = good_id GROUP BY part_id"""
 CTES["rebuilt"] = f"""SELECT paths.part_id, sum({six(fold('d.u_orig*1000000'))}) AS quantity_orig, sum({six(fold('d.u_copy*1000000'))}) AS quantity
@@ -241,10 +243,7 @@ def material_report(source: str, best: str, quoted_rule: str, total_quantity: st
     WHERE {quoted_rule} {where})"""
 
 
-LISTS = """(SELECT '9x{' || lower(max(CASE WHEN part_id=3 THEN label END)) || ', ' || lower(max(CASE WHEN part_id=5 THEN label END)) || ',' ||
-  lower(max(CASE WHEN part_id=12 THEN label END)) || '} 5x{' || lower(max(CASE WHEN part_id=8 THEN label END)) || ',' ||
-  lower(max(CASE WHEN part_id=5 THEN label END)) || '} 20x{' || lower(max(CASE WHEN part_id=30 THEN label END)) || ',' ||
-  lower(max(CASE WHEN part_id=77 THEN label END)) || '}' FROM parts)"""
+LISTS = "(SELECT count(DISTINCT l_orderkey) || ' lists' FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part))"
 T13 = "(b.part_id IS NOT NULL OR m.part_id NOT IN (SELECT part_id FROM sells))"
 BUILD_Q = f"""SELECT part_id, sum({six(fold(f'l.units::HUGEINT*{M12}'))}) AS quantity_orig, sum({{copy}}) AS quantity
   FROM paths JOIN list_units l ON l.item = produce_id {{filter}} GROUP BY part_id"""

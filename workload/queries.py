@@ -52,14 +52,6 @@ def _local(t) -> DataFrame:
     return market.local_regions(t.regions, a.LOCAL_TEXT)
 
 
-def _lists(t) -> list[str]:
-    """Build lists naming a few shallow and deep products by their labels."""
-    wanted = [3, 5, 8, 12, 30, 77]
-    names = {r[0]: r[1].lower() for r in t.parts.where(F.col("part_id").isin(wanted)).select("part_id", "label").collect()}
-    get = lambda k: names.get(k, "none")
-    return [f"9x{{{get(3)}, {get(5)},{get(12)}}}", f"5x{{{get(8)},{get(5)}}}", f"20x{{{get(30)},{get(77)}}}"]
-
-
 # --- sources --------------------------------------------------------------------------
 
 
@@ -605,13 +597,13 @@ def product_breakeven(spark, d):
 @query
 def component_demand(spark, d):
     t = a.snapshot(spark, d)
-    return materials.component_demand(t, _lists(t), 4)
+    return materials.component_demand(t, a.build_lists(spark, d), 4)
 
 
 @query
 def components_rebuild(spark, d):
     t = a.snapshot(spark, d)
-    return materials.components_rebuild(t, materials.component_demand(t, _lists(t), 4))
+    return materials.components_rebuild(t, materials.component_demand(t, a.build_lists(spark, d), 4))
 
 
 @query
@@ -646,7 +638,7 @@ def parse_build_list(spark, d):
 @query
 def build_units_of_lists(spark, d):
     t = a.snapshot(spark, d)
-    return build_units(t, _lists(t))
+    return build_units(t, a.build_lists(spark, d))
 
 
 def _priced_parts(spark, d):
@@ -715,19 +707,19 @@ def cheapest_region_for_keyword(spark, d):
 @query
 def materials_for_builds(spark, d):
     t = a.snapshot(spark, d)
-    return materials.materials_for_builds(t, _lists(t), bpc_runs=4, local=_local(t))
+    return materials.materials_for_builds(t, a.build_lists(spark, d), bpc_runs=4, local=_local(t))
 
 
 @query
 def materials_for_builds_short(spark, d):
     t = a.snapshot(spark, d)
-    return materials.materials_for_builds(t, _lists(t), "components", short_only=True)
+    return materials.materials_for_builds(t, a.build_lists(spark, d), "components", short_only=True)
 
 
 @query
 def materials_three_tier(spark, d):
     t = a.snapshot(spark, d)
-    return materials.materials_three_tier(t, _lists(t), bpc_runs=4, local=_local(t))
+    return materials.materials_three_tier(t, a.build_lists(spark, d), bpc_runs=4, local=_local(t))
 
 
 @query
