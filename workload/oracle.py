@@ -34,7 +34,7 @@ def half_up_signed(n: str, d: str) -> str:
 
 
 def as_double(micro: str) -> str:
-    return f"(({micro})::BIGINT / 1e6)"
+    return f"(({micro})::HUGEINT / 1e6)"
 
 
 def fold(units12: str) -> str:

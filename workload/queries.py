@@ -30,8 +30,7 @@ def plain(df: DataFrame) -> DataFrame:
         value, kind = F.col(field.name), field.dataType
         if isinstance(kind, T.DecimalType):
             if kind.scale:
-                scaled = numbers.micro(F.round(value, 6)).cast("bigint")
-                value = scaled.cast("double") / F.lit(1_000_000.0)
+                value = numbers.micro(F.round(value, 6)).cast("double") / F.lit(1_000_000.0)
             else:
                 value = value.cast("bigint")
         elif isinstance(kind, T.ArrayType):
