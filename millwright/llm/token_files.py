@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from millwright.llm import shared_files
 from millwright.llm.arrow import decoded, map_rows, text_bytes
-from millwright.llm.byte_bpe import UNSAFE
+from millwright.llm.byte_bpe import UNSAFE, apart
 from millwright.session import materialize
 
 HEADER = struct.Struct("<qBB")
@@ -142,19 +142,27 @@ class Encoder:
         self.tokenizer.no_padding(), self.tokenizer.no_truncation()
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 65_536 else 4
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # a byte-level vocabulary spells each byte as one character, so a token's length is that of its bytes
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.size = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.size[number] = len(token)
         self.end = np.array([end_id], f"<u{self.width}").tobytes()
         self.words: dict[str, bytes] = {}
         self.most = most
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(ids, f"<u{self.width}").tobytes() for ids in self.ids(texts)]
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def together(self, words: list[str]) -> list[bytes]:
-        """Ids of words, each behind a space, from one text of them all; a token belongs to the word its offset lies in."""
-        found = self.tokenizer.encode("".join([" " + w for w in words]), add_special_tokens=False)
-        ids = np.array(found.ids, f"<u{self.width}").tobytes()
-        at = np.array([start for start, _ in found.offsets], np.int64)
-        ends = (np.searchsorted(at, np.cumsum([len(w) + 1 for w in words])) * self.width).tolist()
+        """Ids of words, each behind a space, from one text of them all; a token belongs to the word its bytes lie in."""
+        found = np.array(self.ids(["".join([" " + w for w in words])])[0], np.int64)
+        ids = found.astype(f"<u{self.width}").tobytes()
+        behind = np.cumsum(self.size[found])
+        ends = ((np.searchsorted(behind, np.cumsum([len(w.encode()) + 1 for w in words])) + 1) * self.width).tolist()
         return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
     def by_word(self, text: str) -> bool:
@@ -162,18 +170,17 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, with the end id behind."""
-        cut = [t.split(" ") if self.by_word(t) else None for t in texts]
+        cut = [t.split(" ") if self.by_word(t) else [t] for t in texts]
+        fronts, behind = [parts[0] for parts in cut], [parts[1:] for parts in cut]
         if len(self.words) >= self.most:
             self.words.clear()
-        new = list({w for parts in cut if parts for w in parts[1:]} - self.words.keys())
+        new, spaced = apart(set().union(*behind).difference(self.words))
         for start in range(0, len(new), 2000):
             some = new[start : start + 2000]
             self.words.update(zip(some, self.together(some)))
-        look, out = self.words.__getitem__, []
-        for text, parts in zip(texts, cut):
-            front = self.whole([parts[0] if parts else text])[0] if text else b""
-            out.append(b"".join((front, *map(look, parts[1:] if parts else ()), self.end)))
-        return out
+        self.words.update(zip(spaced, self.whole([" " + w for w in spaced])))
+        look = self.words.__getitem__
+        return [b"".join((front, *map(look, words), self.end)) for front, words in zip(self.whole(fronts), behind)]
 
 
 @lru_cache(maxsize=2)
@@ -182,7 +189,7 @@ def _encoder(definition: str, end_id: int, most: int) -> Encoder:
 
 
 def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = 0, id_column: str = "doc_id",
-          text: str = "text", file_bytes: int = 8 << 20, cached_words: int = 500_000) -> DataFrame:
+          text: str = "text", file_bytes: int = 8 << 20, cached_words: int = 300_000) -> DataFrame:
     """Write all documents in ascending order of id; returns the list of files (name, n_docs, n_tokens), stored."""
     shared_files.make_folder(folder)
     with open(tokenizer_file, encoding="utf-8") as f:

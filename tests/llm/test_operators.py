@@ -372,3 +372,21 @@ class TestGivenTables:
         quality = {r["doc_id"]: r["quality"] for r in pq.read_table(f"{SF}/labels.parquet").to_pylist()}
         held = [r for r in queries.op1_quality_model(spark, SF).collect() if r["held_out"] and r["doc_id"] in quality]
         assert np.mean([r["predicted"] == quality[r["doc_id"]] for r in held]) > 0.9
+
+
+def test_words_beside_white_space_keep_their_ids():
+    """Words are encoded beside words they do not stand beside in the text; line breaks at their ends must not join."""
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    with open(queries.RANKS, "rb") as f:
+        ranks = byte_bpe.parse_ranks(f.read())
+    with open(queries.TOKENIZER, encoding="utf-8") as f:
+        definition = f.read()
+    draw = random.Random(5)
+    texts = ["".join(draw.choice([" ", "\n", "\t", "\r", "a", "the", "é", "1", ".", "'s", "zq"]) for _ in range(draw.randrange(25))) for _ in range(3000)]
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert byte_bpe.Encoder(ranks, public_tokenizers.PATTERN, 1000).texts(texts) == [np.array(plain.encode_ordinary(t), "<u4").tobytes() for t in texts]
+    whole = Tokenizer.from_str(definition)
+    found = token_files.Encoder(definition, 0, 1000).encode(texts)
+    assert found == [np.array(whole.encode(t, add_special_tokens=False).ids + [0], "<u2").tobytes() for t in texts]
