@@ -140,6 +140,13 @@ def test_explosion_equals_brute_force(spark, edges):
     assert all(r.leaf == (r.part_id not in goods) and r.depth == len(r.path) - 1 == len(r.steps) for r in rows)
 
 
+def test_only_paths_that_can_follow_are_joined(spark):
+    """Of the paths from 1, 2, 3 and 4, those from 3 alone follow on a way that ends there."""
+    known = spark.createDataFrame([(r, [r, r + 1]) for r in (1, 2, 3, 3, 4)], "produce_id bigint, path array<bigint>")
+    heads = spark.createDataFrame([(3,), (3,), (9,)], "_joint bigint")
+    assert sorted(rows_of(bom._tails(known, heads))) == [(3, [3, 4], [4])] * 2
+
+
 def test_diamond_gives_one_row_per_path(spark):
     parts = parts_of(spark, [(i, f"P{i}", {}) for i in range(1, 5)])
     rates = bom.bom_rates(edges_of(spark, [(1, 2, 1), (1, 3, 1), (2, 4, 1), (3, 4, 1)], parts), parts, tags_of(spark, [(99, "X")]))

@@ -55,6 +55,23 @@ def test_depth_average(spark, seed, rows, bits):
     assert sorted(got) == by_hand(book, params)
 
 
+@pytest.mark.parametrize("rows", [60, 150, 4096])
+def test_calm_parts_go_another_way_than_busy_ones(spark, rows):
+    """Parts 2 and 3 have fewer orders than part 1; wherever the border lies, the figures are the clerk's."""
+    book = random_book(4)
+    params = SMALL.but(cell_rows=rows, radix_bits=2)
+    assert sorted(rows_of(market.order_depth_average(orders_of(spark, book), params))) == by_hand(book, params)
+
+
+def test_calm_parts_meet_once(spark, monkeypatch):
+    """No part has many orders: nothing as long as the orders is written on the way, and they are shuffled once."""
+    written, keep = [], market.materialize
+    monkeypatch.setattr(market, "materialize", lambda df, name: written.append(name) or keep(df, name))
+    figures = market.order_depth_average(orders_of(spark, random_book(6)), SMALL)
+    assert written == ["order-counts", "busy-parts"]
+    assert figures._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_tiers_cut_inside_one_price_and_quantity(spark):
     """Ten thousand equal orders: the cap falls inside one (price, quantity)."""
     equal = spark.range(10_000).select(F.lit(1).cast("bigint").alias("part_id"), F.lit("SELL").alias("direction"),
