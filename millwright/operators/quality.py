@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millwright.operators.bom import bom_cycles
+from millwright.session import materialize
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,39 +60,37 @@ def _not_null(table: str, df: DataFrame, key: str, columns: tuple[str, ...]) ->
     return {f"{table}.{c} not null": (F.col(c).isNull(), F.col(key), F.lit(c)) for c in columns if c in df.columns}
 
 
-def _checks(df: DataFrame, rules: Rules, known: dict[str, tuple[str, DataFrame, str, Column, Column]] | None = None,
+def _unknown(parent: DataFrame, key: str, tables: list[tuple[DataFrame, str]]) -> DataFrame:
+    """The ids that the tables name and the parent does not have: ids alone are shuffled, and few are left to join the rows with."""
+    named = reduce(DataFrame.unionByName, [df.where(F.col(c).isNotNull()).select(F.col(c).alias(key)).distinct() for df, c in tables])
+    return materialize(named.distinct().join(parent.select(key), key, "left_anti"), "unknown-ids")
+
+
+def _checks(df: DataFrame, rules: Rules, known: dict[str, tuple[str, DataFrame, Column, Column]] | None = None,
             unique: dict[str, list[str]] | None = None) -> DataFrame:
-    """(rule, key, detail) of all rules of a table in one pass over it: an array of the violations of each row.
+    """(rule, key, detail) of all rules of a table: an array of the violations of each row, and a row per key held twice.
 
-    ``rules`` has (violated, key, detail). ``known`` has for a foreign key (column, parent, parent key, key, detail): the parent's keys
-    join as a flag. ``unique`` has the key columns; the first of equal rows reports them, null keys do not collide.
+    ``rules`` has (violated, key, detail). ``known`` has for a foreign key (column, ids the parent does not have, key, detail); the ids
+    join as a flag. ``unique`` has the key columns; null keys do not collide.
     """
     found = dict(rules)
-    for rule, (column, parent, parent_key, key, detail) in (known or {}).items():
-        flag = f"_known_{len(df.columns)}"
-        ids = parent.select(F.col(parent_key).alias(column)).where(F.col(column).isNotNull()).distinct().withColumn(flag, F.lit(True))
-        df = df.join(ids, column, "left")
-        found[rule] = (F.col(column).isNotNull() & F.col(flag).isNull(), key, detail)
-    for rule, keys in (unique or {}).items():
-        n = len(df.columns)
-        present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        # rows without a whole key are dealt out by themselves, or they would all meet in one task
-        lone = F.when(~present, F.xxhash64(*df.columns))
-        df = df.withColumn(f"_lone_{n}", lone)
-        same = Window.partitionBy(*keys, f"_lone_{n}")
-        df = df.withColumn(f"_copies_{n}", F.count(F.lit(1)).over(same)).withColumn(f"_copy_{n}", F.row_number().over(same.orderBy(F.lit(1))))
-        found[rule] = (present & (F.col(f"_copies_{n}") > 1) & (F.col(f"_copy_{n}") == 1), F.col(keys[0]), F.col(keys[-1]))
+    copies = [_rows(duplicates(df, keys), rule, F.col(keys[0]), F.col(keys[-1])) for rule, keys in (unique or {}).items()]
+    for rule, (column, unknown, key, detail) in (known or {}).items():
+        flag = f"_unknown_{len(df.columns)}"
+        df = df.join(unknown.toDF(column).withColumn(flag, F.lit(True)), column, "left")
+        found[rule] = (F.col(flag), key, detail)
     broken = [
         F.when(violated, F.struct(F.lit(rule).alias("rule"), key.cast("string").alias("key"), detail.cast("string").alias("detail")))
         for rule, (violated, key, detail) in found.items()
     ]
-    return df.select(F.inline(F.array_compact(F.array(*broken))))
+    return reduce(DataFrame.unionByName, copies, df.select(F.inline(F.array_compact(F.array(*broken)))))
 
 
 def constraint_violations(parts: DataFrame, edges: DataFrame, tags: DataFrame, orders: DataFrame,
                           aggregates: DataFrame, regions: DataFrame) -> DataFrame:
-    """(rule, key, detail) for every declared NOT NULL, CHECK, UNIQUE and foreign key, in one pass per table.
+    """(rule, key, detail) for every declared NOT NULL, CHECK, UNIQUE and foreign key.
 
+    Rows are checked in place; only keys and ids are shuffled.
     A null is reported by its NOT NULL rule alone. Columns a table does not have are not checked.
     """
     def side(table: str) -> Rules:
@@ -100,11 +99,14 @@ def constraint_violations(parts: DataFrame, edges: DataFrame, tags: DataFrame, o
     def positive(table: str, columns: tuple[str, ...]) -> Rules:
         return {f"{table}.{c} positive": (F.col(c) <= 0, F.col("part_id"), F.col(c)) for c in columns}
 
+    no_parts = _unknown(parts, "part_id", [(edges, "good_id"), (edges, "part_id"), (tags, "part_id"), (orders, "part_id"), (aggregates, "part_id")])
+    no_regions = _unknown(regions, "region", [(orders, "region"), (aggregates, "region")])
+
     def catalogue(rule: str, column: str, key: str, detail: str):
-        return {rule: (column, parts, "part_id", F.col(key), F.col(detail))}
+        return {rule: (column, no_parts, F.col(key), F.col(detail))}
 
     def region(table: str):
-        return {f"{table}.region known": ("region", regions, "region", F.col("part_id"), F.col("region"))}
+        return {f"{table}.region known": ("region", no_regions, F.col("part_id"), F.col("region"))}
 
     return reduce(DataFrame.unionByName, [
         _checks(parts, _not_null("part", parts, "part_id", ("part_id", "label", "volume", "outcome_units")), unique={"part unique": ["part_id"]}),

@@ -260,6 +260,17 @@ def test_constraint_violations(spark):
                    ("order.region known", "8"), ("order.quantity positive", "1"), ("aggregate.price_average positive", "1")}
 
 
+def test_checks_shuffle_keys_alone(spark):
+    """No window, no sort; where no id is unknown, rows are not shuffled: what is, has no more columns than the unique key."""
+    parts = parts_of(spark, [(1, "A", {}), (1, "B", {}), (None, "C", {}), (None, "D", {}), (2, "E", {})])
+    found = quality._checks(parts, {}, unique={"part unique": ["part_id"]})
+    assert rows_of(found) == [("part unique", "1", "1")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
+    edges = edges_of(spark, [(1, 2, 1), (1, 7, 1), (1, 7, 2)], parts)
+    assert sorted(r.part_id for r in quality._unknown(parts, "part_id", [(edges, "part_id"), (edges, "good_id")]).collect()) == [7]
+
+
 def test_nulls_are_violations(spark):
     schema = "part_id bigint, direction string, region bigint, price bigint, quantity bigint, min_qty bigint"
     orders = spark.createDataFrame([(1, "SELL", 1, None, 2, 1), (None, "BUY", 1, 5, None, 1), (1, None, None, 5, 1, None)], schema)
