@@ -115,13 +115,26 @@ def read_books(docs: DataFrame, key: str = "item_type_id", version: str = "cache
         key, version, "_document", "_at", "_fault", F.when(F.col("_at") == 0, F.col(xml)).alias(xml), "_row.*").select(
         key, version, "_document", "_at", "_fault", xml, *_order_columns()), "books")
     heads = stored.where("_at = 0")
-    best = F.max(F.struct(version, xml, "_document")).alias("_best")
-    newest = materialize(heads.where("_fault is null").groupBy(key).agg(best).select(key, F.col("_best._document").alias("_document")), "newest-books")
+    newest = materialize(_newest(heads.where("_fault is null"), key, version, xml), "newest-books")
     orders = stored.where("_at > 0").join(newest.select("_document"), "_document", "left_semi")
     refused = heads.where("_fault is not null").select(key, version, xml, F.col("_fault").alias("reason"))
     return Books(orders.drop("_document", "_at", "_fault", version, xml), newest.select(key), refused)
 
 
+def _newest(heads: DataFrame, key: str, version: str, xml: str) -> DataFrame:
+    """(key, _document) of the highest version; texts are compared, and shuffled, only where that one has several documents."""
+    last = materialize(
+        heads.groupBy(key, version).agg(F.max("_document").alias("_document"), F.count(F.lit(1)).alias("_n"))
+        .groupBy(key).agg(F.max(F.struct(version, "_document", "_n")).alias("_last")).select(key, "_last.*"), "last-versions")
+    single = last.where("_n = 1").select(key, "_document")
+    tied = last.where("_n > 1").select(F.col(key).alias("_key"), F.col(version).alias("_version"))
+    if tied.isEmpty():
+        return single
+    best = F.max(F.struct(xml, "_document")).alias("_best")
+    several = heads.join(tied, F.col(key).eqNullSafe(F.col("_key")) & F.col(version).eqNullSafe(F.col("_version")), "left_semi")
+    return single.unionByName(several.groupBy(key).agg(best).select(key, F.col("_best._document").alias("_document")))
+
+
 def parse_assets(docs: DataFrame, holder: str = "holder", xml: str = "xdoc") -> DataFrame:
     """Items one level inside a place or ship; places without contents give no row."""
     outer = opened(docs, ASSETS, xml).select(F.col(holder).alias("holder"), F.explode(_loaded("_doc.result.rowset.row")).alias("_place"))
