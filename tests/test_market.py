@@ -45,6 +45,20 @@ def random_book(seed, n=400):
             for _ in range(n)]
 
 
+def test_groups_that_meet_are_walked_once_in_longs(spark):
+    """One window over orders, 64-bit sums; a worth beyond 64 bits counts as the cap while sums are made, and whole in the figures."""
+    book = [(1, side, 1, price, quantity) for side in ("BUY", "SELL") for price, quantity in (
+        (2**40, 2**40), (2**40, 2**40), (2**40 + 5, 1), (90, 100), (91, 3), (90, 2**62), (10_000, 1), (12_000, 1), (9_999, 1))]
+    book += [(2, side, 1, price, quantity) for side in ("BUY", "SELL") for price, quantity in ((100, 50), (100, 50), (100, 50), (101, 20))]
+    book += [(3, side, 1, price, 1) for side in ("BUY", "SELL") for price in (9_999, 10_000, 12_000, 70_000, 700)]
+    groups = market._depth_by_groups(orders_of(spark, book), len(book), SMALL)
+    assert sorted(rows_of(groups)) == by_hand(book, SMALL)
+    plan = groups._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "count(1)" not in plan
+    wide = SMALL.but(supply_depth=2**61, demand_depth=2**61)  # too many for sums in longs
+    assert sorted(rows_of(market._depth_by_groups(orders_of(spark, book), len(book), wide))) == by_hand(book, wide)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 @pytest.mark.parametrize("rows,bits", [(4096, 12), (1, 1), (20, 3)])
 def test_depth_average(spark, seed, rows, bits):
