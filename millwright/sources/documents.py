@@ -40,9 +40,9 @@ def opened(docs: DataFrame, kind: str, xml: str = "xdoc") -> DataFrame:
     fault = F.when(F.col(xml).isNull(), "no document").when(
         F.col("_doc").isNull() | F.col(f"_doc.{_BROKEN}").isNotNull(), "not well-formed")
     if kind.startswith("sell_orders"):
-        none = F.array().cast("array<string>")
-        prices = F.concat(*[F.coalesce(F.col(f"_doc.{side}.order.price"), none) for side in SIDES.values()])
-        fault = fault.when(F.exists(prices, lambda p: p.try_cast("decimal(17,2)").isNull()), "unreadable price")
+        for side in SIDES.values():
+            unreadable = F.exists(f"_doc.{side}.order", lambda o: o["price"].try_cast("decimal(17,2)").isNull())
+            fault = fault.when(unreadable, "unreadable price")
     doc = F.from_xml(F.col(xml), f"{kind}, {_BROKEN} string", {"columnNameOfCorruptRecord": _BROKEN})
     return docs.withColumn("_doc", doc).withColumn("_fault", fault)
 

@@ -326,3 +326,17 @@ def test_region_conflicts(spark):
 def test_unknown_change_rule(spark):
     with pytest.raises(ValueError):
         merge.upsert(regions_of(spark), regions_of(spark), ["region"], ["name_region"], changed="maybe")
+
+
+def test_price_check_copies_no_prices(spark):
+    """Prices are looked at where they stand, on either side, a missing one included; no array of both sides is made."""
+    order = "<order id='1'><region>1</region>{}</order>"
+    book = "<quicklook><sell_orders>{}</sell_orders><buy_orders>{}</buy_orders></quicklook>"
+    good, bad, none = (order.format(p) for p in ("<price>1.50</price>", "<price>x</price>", ""))
+    docs = spark.createDataFrame([(i, book.format(*sides)) for i, sides in enumerate(
+        [(good, good), (good, ""), ("", ""), (good, bad), (bad, good), (good + none, good), (good, good + none)])], "item int, xdoc string")
+    for sides in (["SELL"], ["BUY"], ["SELL", "BUY"]):
+        opened = documents.opened(docs, documents.order_book(sides))
+        assert sorted((r.item, r._fault) for r in opened.collect()) == [(i, "unreadable price" if i > 2 else None) for i in range(7)]
+        plan = opened._jdf.queryExecution().optimizedPlan().toString()
+        assert "exists(" in plan and "concat(" not in plan
