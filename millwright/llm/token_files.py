@@ -8,8 +8,9 @@ records in any order.
 
 Writing: one range shuffle by document id puts the texts in order; each task encodes its range
 and writes files of about ``file_bytes``. Files are named by task and number, so their names
-sort as the documents do. Encoding caches the ids of words: pieces of the pre-tokenizer never
-cross the single space before a word, so each distinct word goes through the tokenizer once.
+sort as the documents do. Encoding works on the distinct words of some megabytes of text, each
+behind its space, which pieces of the pre-tokenizer never cross; these are cut as a byte-level
+pre-tokenizer cuts them, and each distinct piece goes through the tokenizer once while it is kept.
 
 Defined results: null and empty texts give a record of the end id alone; equal document ids
 keep both records, in order of text; null ids come first; an empty table gives no file and no
@@ -19,10 +20,14 @@ columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from functools import lru_cache
+from itertools import groupby
+from unicodedata import category
 
 import numpy as np
 from pyspark import TaskContext
@@ -37,6 +42,8 @@ HEADER = struct.Struct("<qBB")
 LENGTH, CHECK, ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<QQq")
 POLYNOMIAL, MASK = 0x82F63B78, 0xA282EAD8  # fixed values: CRC-32C reflected, and the mask of record files
 BLOCK = 256
+LATIN = bytes(range(0xCA))  # bytes of characters below U+0280, all assigned
+WHITE = {"", *filter(str.isspace, map(chr, range(0x10000)))}
 
 
 class BadRecord(ValueError):
@@ -131,8 +138,25 @@ def records(folder: str, name: str, order: list[int] | None = None):
             yield parse(unframe(f.read(entries[k][1]), 0)[0])
 
 
+@lru_cache(maxsize=1)
+def _pattern() -> tuple[re.Pattern, re.Pattern]:
+    """The pattern of a byte-level pre-tokenizer (letters first, its alternatives exclude each other), and characters that go by the library alone."""
+    kinds = [category(chr(c)) for c in range(0x1FA00)]
+
+    def ranges(wanted) -> str:
+        found = (list(run) for good, run in groupby(range(len(kinds)), lambda c: wanted(c, kinds[c])) if good)
+        return "".join(f"\\U{run[0]:08x}-\\U{run[-1]:08x}" for run in found)
+
+    letter, number = (ranges(lambda c, kind, first=first: kind[0] == first and c < 0x10000) for first in "LN")
+    space = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+    # not assigned yet, so the library may know a later Unicode; and beyond the first plane all but pictographs
+    unsure = ranges(lambda c, kind: kind in ("Cn", "Cs") or 0x10000 <= c < 0x1F300 or c >= 0x10000 and kind[0] in "LN")
+    return (re.compile(f" ?[{letter}]+| ?[{number}]+|'(?:[stmd]|re|ve|ll)| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"),
+            re.compile(f"[{unsure}\\U0001fa00-\\U0010ffff]"))
+
+
 class Encoder:
-    """A tokenizer with a bounded cache of the ids of words that stand behind a space."""
+    """A tokenizer with a bounded cache of the ids of pieces."""
 
     def __init__(self, definition: str, end_id: int, most: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -148,7 +172,13 @@ class Encoder:
         for token, number in vocabulary.items():
             self.size[number] = len(token)
         self.end = np.array([end_id], f"<u{self.width}").tobytes()
-        self.words: dict[str, bytes] = {}
+        before = self.tokenizer.pre_tokenizer
+        kind = json.loads(before.__getstate__()) if before is not None else {}
+        self.known = (self.tokenizer.normalizer is None and kind.get("type") == "ByteLevel"
+                      and kind["use_regex"] and not kind["add_prefix_space"])
+        # two generations of ``most`` pieces: the older one goes when the younger is full, and what is met again moves on
+        self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.most = most
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -168,19 +198,76 @@ class Encoder:
     def by_word(self, text: str) -> bool:
         return not (UNSAFE.search(text) or any(s in text for s in self.special))
 
+    def learn(self, pieces: set[str]) -> None:
+        """Have the ids of all pieces in the younger generation."""
+        if len(self.pieces) >= self.most:
+            self.older, self.pieces = self.pieces, {}
+        new = pieces.difference(self.pieces)
+        met = [p for p in new if p in self.older]  # an intersection would go through all that is kept
+        self.pieces.update(zip(met, map(self.older.__getitem__, met)))
+        new.difference_update(met)
+        words, alone = apart({p[1:] for p in new if p[0] == " "})
+        alone = [" " + w for w in alone] + [p for p in new if p[0] != " "]
+        for start in range(0, len(words), 200):
+            some = words[start : start + 200]
+            self.pieces.update(zip([" " + w for w in some], self.together(some)))
+        self.pieces.update(zip(alone, self.whole(alone)))
+
+    def strings(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of strings from those of their pieces: all ids in a row, and where the ids of each string start and how many they are."""
+        pattern, unsure = _pattern()
+        plain = np.full(len(strings), self.known)
+        # first by the bytes that open characters, as most text is of the Latin letters
+        if self.known and (joined := "".join(strings)).encode().translate(None, LATIN) and unsure.search(joined):
+            plain[:] = [not unsure.search(s) for s in strings]
+        # a space before anything but white space opens a piece, whatever stands before it
+        joint = plain & np.array([s[:1] == " " and s[1:2] not in WHITE for s in strings], bool)
+        order = np.argsort(~joint, kind="stable")
+        ordered, n = [strings[i] for i in order.tolist()], int(joint.sum())
+        pieces = pattern.findall("".join(ordered[:n]))
+        for s, follows in zip(ordered[n:], plain[order[n:]].tolist()):
+            pieces += pattern.findall(s) if follows else [s] if s else []
+        self.learn(set(pieces))
+        found = list(map(self.pieces.__getitem__, pieces))
+        behind_piece = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        ids_behind = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // self.width
+        last = np.searchsorted(np.append(0, behind_piece), np.cumsum([len(s) for s in ordered], dtype=np.int64))
+        stop = np.append(0, ids_behind)[last]
+        start, size = np.empty(len(strings), np.int64), np.empty(len(strings), np.int64)
+        size[order] = np.diff(stop, prepend=0)
+        start[order] = stop - size[order]
+        return np.frombuffer(b"".join(found), f"<u{self.width}"), start, size
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, with the end id behind."""
-        cut = [t.split(" ") if self.by_word(t) else [t] for t in texts]
-        fronts, behind = [parts[0] for parts in cut], [parts[1:] for parts in cut]
-        if len(self.words) >= self.most:
-            self.words.clear()
-        new, spaced = apart(set().union(*behind).difference(self.words))
-        for start in range(0, len(new), 2000):
-            some = new[start : start + 2000]
-            self.words.update(zip(some, self.together(some)))
-        self.words.update(zip(spaced, self.whole([" " + w for w in spaced])))
-        look = self.words.__getitem__
-        return [b"".join((front, *map(look, words), self.end)) for front, words in zip(self.whole(fronts), behind)]
+        """Ids of each text, with the end id behind: those of its distinct words, gathered."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        cut = [t.partition(" ") if self.by_word(t) else None for t in texts]
+        fronts = [c[0] for c in cut if c]
+        behind = pc.split_pattern(pa.array([c[2] if c[1] else None for c in cut if c], pa.large_string()), " ")
+        words = behind.flatten().dictionary_encode()
+        n_words = pc.fill_null(pc.list_value_length(behind), 0).to_numpy().astype(np.int64)
+        distinct = [" " + w for w in words.dictionary.to_numpy(zero_copy_only=False)]
+        flat, start, size = self.strings(distinct + fronts)
+        each = np.insert(words.indices.to_numpy(), np.cumsum(n_words) - n_words, np.arange(len(fronts)) + len(distinct))
+        sizes = size[each]
+        ends = np.cumsum(sizes)
+        ids = flat[np.repeat(start[each] - ends + sizes, sizes) + np.arange(sizes.sum())].tobytes()
+        stops = (np.append(0, ends)[np.cumsum(n_words + 1)] * self.width).tolist()
+        found, left = (ids[a:b] for a, b in zip([0, *stops], stops)), iter(self.whole([t for t, c in zip(texts, cut) if not c]))
+        return [next(found if c else left) + self.end for c in cut]
+
+
+def portions(sizes: list[int], most: int) -> list[tuple[int, int]]:
+    """Slices of rows in order, each of at most ``most`` bytes or of one row."""
+    cuts, held = [0], 0
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
+            cuts.append(i)
+            held = 0
+        held += size
+    return list(zip(cuts, [*cuts[1:], len(sizes)])) if sizes else []
 
 
 @lru_cache(maxsize=2)
@@ -189,7 +276,7 @@ def _encoder(definition: str, end_id: int, most: int) -> Encoder:
 
 
 def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = 0, id_column: str = "doc_id",
-          text: str = "text", file_bytes: int = 8 << 20, cached_words: int = 300_000) -> DataFrame:
+          text: str = "text", file_bytes: int = 8 << 20, cached_words: int = 300_000, text_bytes_at_once: int = 8 << 20) -> DataFrame:
     """Write all documents in ascending order of id; returns the list of files (name, n_docs, n_tokens), stored."""
     shared_files.make_folder(folder)
     with open(tokenizer_file, encoding="utf-8") as f:
@@ -213,13 +300,13 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = 0, id
             at = tokens = 0
 
         for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                rows = batch.slice(start, 200).to_pylist()
-                for row, ids in zip(rows, encoder.encode([decoded(r["text"]) for r in rows])):
-                    data = record(row["id"], ids, encoder.width)
-                    index.append(entry(at, data, row["id"]))
+            ids, texts = batch.column("id").to_pylist(), batch.column("text").to_pylist()
+            for a, b in portions([len(t or b"") for t in texts], text_bytes_at_once):
+                for doc_id, found in zip(ids[a:b], encoder.encode([decoded(t) for t in texts[a:b]])):
+                    data = record(doc_id, found, encoder.width)
+                    index.append(entry(at, data, doc_id))
                     pieces.append(data)
-                    at, tokens = at + len(data), tokens + len(ids) // encoder.width
+                    at, tokens = at + len(data), tokens + len(found) // encoder.width
                     if at >= file_bytes:
                         close()
         if index:

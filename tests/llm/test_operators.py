@@ -150,6 +150,38 @@ def test_words_are_encoded_together_as_apart():
         assert encoder.encode(texts) == [ids + encoder.end for ids in encoder.whole(texts)]
 
 
+def test_each_distinct_piece_goes_through_the_tokenizer_once(monkeypatch):
+    """Words that differ, made of few pieces: the library gets each piece once, and the ids are those of whole texts."""
+    with open(queries.TOKENIZER, encoding="utf-8") as f:
+        encoder = token_files.Encoder(f.read(), 0, 1000)
+    syllables = [a + b for a in "bdfgklmnprst" for b in "aeiou"]
+    texts = [" ".join(f"{a},{b}." for b in syllables) for a in syllables]
+    expected = [ids + encoder.end for ids in encoder.whole(texts)]
+    given, ids = [], encoder.ids
+    monkeypatch.setattr(encoder, "ids", lambda some: given.extend(some) or ids(some))
+    assert encoder.encode(texts) == expected and encoder.encode(texts[::-1]) == expected[::-1]
+    assert sum(map(len, given)) < 1000 < sum(map(len, texts))
+
+
+def test_texts_are_cut_as_the_pre_tokenizer_cuts_them():
+    """Every character that the pattern is trusted with, and all others by way of the tokenizer."""
+    with open(queries.TOKENIZER, encoding="utf-8") as f:
+        encoder = token_files.Encoder(f.read(), 0, 500)
+    pattern, unsure = token_files._pattern()
+    sure = [c for c in map(chr, range(0x110000)) if not unsure.match(c) and not "\ud800" <= c <= "\udfff"]
+    assert len(sure) > 60_000 and "\U0001f600" in sure
+    for start in range(0, len(sure), 4096):
+        text = "".join(f"x{c}1{c}!{c} {c}'{c}\n" for c in sure[start : start + 4096])
+        assert pattern.findall(text) == [text[a:b] for _, (a, b) in encoder.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+    draw = random.Random(8)
+    some = [" ", " ", "\n", "\xa0", "\x85", "\u3000", "\x1c", "a", "é", "日", "1", "²", ".", "'re", "'", "\U0001f600", "\U00020000", "\u1c89", "zq", "<|endoftext|>"]
+    texts = ["".join(draw.choices(some, [9] * 19 + [1], k=draw.randrange(30))) for _ in range(3000)]
+    assert encoder.encode(texts) == [ids + encoder.end for ids in encoder.whole(texts)]
+    assert [t for start in range(0, 3000, 70) for t in encoder.encode(texts[start : start + 70])] == encoder.encode(texts)
+    assert len(encoder.older) > 0 and encoder.encode([]) == [] and encoder.encode(["", " "]) == [ids + encoder.end for ids in encoder.whole(["", " "])]
+    assert token_files.portions([3, 3, 9, 0, 1], 6) == [(0, 2), (2, 3), (3, 5)] and token_files.portions([], 6) == []
+
+
 def test_very_long_headers_are_read(spark):
     """A header block of a megabyte is a record like any other; a damaged archive makes the round trip fail."""
     pages = spark.createDataFrame([(1, "http://a/", "x"), (2, "http://a/?" + "q" * 1_000_000, "y"), (3, "http://b/?" + "r" * 70_000, "x")],
