@@ -42,6 +42,7 @@ HEADER = struct.Struct("<qBB")
 LENGTH, CHECK, ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<QQq")
 POLYNOMIAL, MASK = 0x82F63B78, 0xA282EAD8  # fixed values: CRC-32C reflected, and the mask of record files
 BLOCK = 256
+FIRST = np.arange(BLOCK) * 256  # of each place's row in the table
 LATIN = bytes(range(0xCA))  # bytes of characters below U+0280, all assigned
 WHITE = {"", *filter(str.isspace, map(chr, range(0x10000)))}
 
@@ -79,10 +80,9 @@ def crc32c(data: bytes) -> int:
     padded[front:] = np.frombuffer(data, np.uint8)
     padded[front : front + 4] ^= 255  # the starting state, laid over the first four bytes
     blocks = padded.reshape(-1, BLOCK)
-    place = np.arange(BLOCK)
     state = 0
     for start in range(0, len(blocks), 512):
-        for block in np.bitwise_xor.reduce(places[place, blocks[start : start + 512]], axis=1).tolist():
+        for block in np.bitwise_xor.reduce(places.take(blocks[start : start + 512] + FIRST), axis=1).tolist():
             state = t0[state & 255] ^ t1[state >> 8 & 255] ^ t2[state >> 16 & 255] ^ t3[state >> 24] ^ block
     return state ^ 0xFFFFFFFF
 
