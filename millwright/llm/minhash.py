@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millwright.llm.arrow import pa_schema
-from millwright.llm.url_filter import bloom, may_hold
+from millwright.llm.url_filter import bloom, may_hold, table_bytes
 from millwright.session import materialize
 
 BANDS, ROWS = 50, 6
@@ -213,9 +213,8 @@ def _prefix_links(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components of ``rest`` (cid, comp, n, hashes), by shared rare shingles."""
     rest = materialize(rest, "minhash-rest-sets")
     place = lambda h: F.pmod(h, F.lit(FREQUENCIES)).cast("int")
-    counts = [0] * FREQUENCIES
-    for at, n in rest.select(F.explode("hashes").alias("h")).select(place(F.col("h")).alias("at")).groupBy("at").count().collect():
-        counts[at] = n
+    found = rest.select(F.explode("hashes").alias("h")).select(place(F.col("h")).alias("at")).groupBy("at").agg(F.count(F.lit(1)).alias("value"))
+    counts = np.frombuffer(table_bytes(found, FREQUENCIES), ">i8").tolist()
     frequency = F.col("frequency")
     rest = rest.withColumn("frequency", rest.sparkSession.createDataFrame([(counts,)], "f array<int>").scalar())
     ranked = F.array_sort(F.transform("hashes", lambda h: F.struct(F.element_at(frequency, place(h) + 1).alias("f"), h.alias("h"))))
