@@ -6,6 +6,7 @@ parsers give no row for it, ``rejected`` returns it with the reason, ``accepted`
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -37,14 +38,24 @@ def order_book(sides: Sequence[str] = tuple(SIDES)) -> str:
 
 def opened(docs: DataFrame, kind: str, xml: str = "xdoc") -> DataFrame:
     """Adds ``_doc``, the document as a struct of ``kind``, and ``_fault``, why it is refused, else null."""
+    return docs.withColumn("_doc", _parsed(kind, xml)).withColumn("_fault", _refusal(kind, xml))
+
+
+def _parsed(kind: str, xml: str) -> Column:
+    return F.from_xml(F.col(xml), f"{kind}, {_BROKEN} string", {"columnNameOfCorruptRecord": _BROKEN})
+
+
+def _unreadable(price: Column) -> Column:
+    return price.try_cast("decimal(17,2)").isNull()
+
+
+def _refusal(kind: str, xml: str) -> Column:
     fault = F.when(F.col(xml).isNull(), "no document").when(
         F.col("_doc").isNull() | F.col(f"_doc.{_BROKEN}").isNotNull(), "not well-formed")
     if kind.startswith("sell_orders"):
         for side in SIDES.values():
-            unreadable = F.exists(f"_doc.{side}.order", lambda o: o["price"].try_cast("decimal(17,2)").isNull())
-            fault = fault.when(unreadable, "unreadable price")
-    doc = F.from_xml(F.col(xml), f"{kind}, {_BROKEN} string", {"columnNameOfCorruptRecord": _BROKEN})
-    return docs.withColumn("_doc", doc).withColumn("_fault", fault)
+            fault = fault.when(F.exists(f"_doc.{side}.order", lambda o: _unreadable(o["price"])), "unreadable price")
+    return fault
 
 
 def accepted(docs: DataFrame, kind: str, xml: str = "xdoc") -> DataFrame:
@@ -89,6 +100,60 @@ def parse_orders(docs: DataFrame, key: str = "item_type_id", xml: str = "xdoc",
     return rows.select(key, *_order_columns())
 
 
+# --- plain order books ----------------------------------------------------------------
+
+# XML that can be read as it stands: elements without attributes but a numeric id, values of printable ASCII without markup
+# and references, in each order the values of the schema in its sequence and nothing else. Such text means the same to a pattern
+# and to a parser; all else goes to the parser. The pattern never steps back over an order.
+# Characters are listed one by one: Java looks those up in a table, ranges it tries one after the other.
+_SPACE, _NAME, _NUMBER = r"[ \t\r\n]*", "[A-Za-z_][A-Za-z0-9_.-]*+", "-?[0-9]{1,18}"
+_TEXT = f"[{re.escape(''.join(chr(c) for c in range(32, 127) if chr(c) not in '<>&'))}]*"
+_VALUES = {"region": _NUMBER, "station": _TEXT, "station_name": _TEXT, "security": _TEXT, "price": _TEXT,
+           "vol_remain": _NUMBER, "min_volume": _NUMBER, "expires": _TEXT}
+_ONE = f'<order(?: id="{_NUMBER}")?+>{_SPACE}{"".join(f"<{name}>{value}</{name}>{_SPACE}" for name, value in _VALUES.items())}</order>{_SPACE}'
+_PLAIN = (f"^<(?!(?i:order|{'|'.join([*SIDES.values(), *_VALUES])}))({_NAME})>{_SPACE}"
+          + "".join(f"<{side}>{_SPACE}(?:{_ONE})*+</{side}>{_SPACE}" for side in SIDES.values()) + f"</\\1>{_SPACE}\\z")
+
+
+def _shape(xml: str) -> Column:
+    """``none``: no document; ``endless``: its first element is never closed; ``plain``, or ``other``."""
+    root = F.regexp_extract(F.substring(xml, 1, 200), f"^<({_NAME})>", 1)
+    endless = (root != "") & ~F.contains(F.col(xml), F.concat(F.lit("</"), root))
+    return F.when(F.col(xml).isNull(), "none").when(endless, "endless").when(F.col(xml).rlike(_PLAIN), "plain").otherwise("other")
+
+
+def _plain_refusal(xml: str) -> Column:
+    """Why a document that is not parsed is refused, else null. Prices are read where one is no short plain amount."""
+    doubtful = F.col(xml).rlike(r"<price>(?!-?[0-9]{1,14}(?:\.[0-9]{1,20})?<)")
+    unreadable = F.exists(F.regexp_extract_all(xml, F.lit("<price>([^<]*)<"), F.lit(1)), _unreadable)
+    return F.when(F.col("_shape") == "none", "no document").when(F.col("_shape") == "endless", "not well-formed").when(
+        doubtful & unreadable, "unreadable price")
+
+
+def _plain_orders(docs: DataFrame, key: str, xml: str, sides: Sequence[str]) -> DataFrame:
+    """The orders of plain documents as (key, direction, o), o as the parser gives it. Each is found by the tag that opens it."""
+    def side(direction: str, part: int) -> Column:
+        found = F.split(F.get("_parts", F.lit(part)), "<order")
+        return F.transform(F.slice(found, 2, F.lit(2**30)), lambda o: F.concat(F.lit(direction), o))
+
+    parts = docs.select(key, F.split(xml, "</sell_orders>").alias("_parts"))
+    rows = parts.select(key, F.explode(F.concat(*[side(direction, n) for n, direction in enumerate(SIDES) if direction in sides])).alias("_row"))
+    return rows.select(key, *_plain_values("_row"))
+
+
+def _plain_values(row: str) -> list[Column]:
+    """An order as text, with its side for the opening tag's name: cut before every tag it is the id, then each value and what ends it."""
+    tag = lambda n: F.get(F.split(row, "<"), F.lit(n))
+    value = lambda n: F.trim(F.substring_index(tag(n), ">", -1))
+    typed = [value(n).try_cast("bigint") if pattern == _NUMBER else value(n) for n, pattern in zip(range(1, 99, 2), _VALUES.values())]
+    number = F.get(F.split(tag(0), '"'), F.lit(1)).try_cast("bigint")
+    order = F.struct(number.alias("_id"), *[v.alias(name) for v, name in zip(typed, _VALUES, strict=True)])
+    return [F.substring_index(F.substring_index(tag(0), " ", 1), ">", 1).alias("direction"), order.alias("o")]
+
+
+# --- order books, the newest of each item ---------------------------------------------
+
+
 @dataclass(frozen=True)
 class Books:
     """What one parse of order-book documents gave: the orders of the newest accepted document of each item, the items that
@@ -101,24 +166,29 @@ class Books:
 
 def read_books(docs: DataFrame, key: str = "item_type_id", version: str = "cached_until", xml: str = "xdoc",
                sides: Sequence[str] = tuple(SIDES), regions: Sequence[int] | None = None) -> Books:
-    """Parse each document once and store what is in it; orders, items and refused documents are read from there.
+    """Check each document once and store it with what was found; orders, items and refused documents are read from there.
 
-    A document gives a row of its own and a row per order. The newest accepted document of an item counts: that of the highest
-    ``version``; of equal ones, or without any, the greatest.
+    Plain documents are checked by pattern, and only the newest of an item is taken apart; the others are parsed, and their
+    orders stored beside them. The newest accepted document of an item counts: that of the highest ``version``; of equal ones, or
+    without any, the greatest.
     """
     if version not in docs.columns:
         docs = docs.withColumn(version, F.lit(0))
-    book = opened(docs.select(key, version, xml), order_book(sides), xml).withColumn("_document", F.monotonically_increasing_id())
-    nothing = F.expr(f"cast(null as struct<direction:string,o:{_ORDER}>)")
-    fanned = book.select(key, version, "_document", "_fault", xml, F.posexplode(F.concat(F.array(nothing), _orders(sides, regions))).alias("_at", "_row"))
-    stored = materialize(fanned.select(
-        key, version, "_document", "_at", "_fault", F.when(F.col("_at") == 0, F.col(xml)).alias(xml), "_row.*").select(
-        key, version, "_document", "_at", "_fault", xml, *_order_columns()), "books")
-    heads = stored.where("_at = 0")
-    newest = materialize(_newest(heads.where("_fault is null"), key, version, xml), "newest-books")
-    orders = stored.where("_at > 0").join(newest.select("_document"), "_document", "left_semi")
-    refused = heads.where("_fault is not null").select(key, version, xml, F.col("_fault").alias("reason"))
-    return Books(orders.drop("_document", "_at", "_fault", version, xml), newest.select(key), refused)
+    kind, other = order_book(sides), F.col("_shape") == "other"
+    book = docs.select(key, version, xml, _shape(xml).alias("_shape")).withColumn("_doc", F.when(other, _parsed(kind, xml)))
+    book = book.withColumn("_fault", F.when(other, _refusal(kind, xml)).otherwise(_plain_refusal(xml)))
+    stored = materialize(book.select(
+        key, version, F.monotonically_increasing_id().alias("_document"), "_fault", xml, "_shape",
+        F.when(other, _orders(sides, regions)).alias("_rows")), "books")
+    newest = materialize(_newest(stored.where("_fault is null"), key, version, xml), "newest-books")
+    marks = materialize(_marks(newest), "newest-marks")
+    plain = _marked(stored.where("_shape = 'plain' and _fault is null").select(key, "_document", xml), marks)
+    orders = _plain_orders(plain, key, xml, sides).select(key, *_order_columns())
+    if regions is not None:
+        orders = orders.where(F.col("region").isin(list(regions)))
+    parsed = _marked(stored.where("_shape = 'other' and _fault is null").select(key, "_document", "_rows"), marks)
+    refused = stored.where("_fault is not null").select(key, version, xml, F.col("_fault").alias("reason"))
+    return Books(orders.unionByName(parsed.select(key, F.inline("_rows")).select(key, *_order_columns())), newest.select(key), refused)
 
 
 def _newest(heads: DataFrame, key: str, version: str, xml: str) -> DataFrame:
@@ -135,6 +205,23 @@ def _newest(heads: DataFrame, key: str, version: str, xml: str) -> DataFrame:
     return single.unionByName(several.groupBy(key).agg(best).select(key, F.col("_best._document").alias("_document")))
 
 
+_MARKS = 32768
+
+
+def _marks(documents: DataFrame) -> DataFrame:
+    """(_bucket, _bits): a bit for each of the documents, ``_MARKS`` numbers in a row, so that texts need not be shuffled to find them."""
+    return documents.groupBy(F.shiftright("_document", 15).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.col("_document") % _MARKS).alias("_bits"))
+
+
+def _marked(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """The rows of the documents that are marked."""
+    at = (F.col("_document") % _MARKS).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("_bucket", F.shiftright("_document", 15)).join(marks, "_bucket")
+    return found.where(F.call_function("shiftright", byte, at % 8) % 2 == 1).drop("_bucket", "_bits")
+
+
 def parse_assets(docs: DataFrame, holder: str = "holder", xml: str = "xdoc") -> DataFrame:
     """Items one level inside a place or ship; places without contents give no row."""
     outer = opened(docs, ASSETS, xml).select(F.col(holder).alias("holder"), F.explode(_loaded("_doc.result.rowset.row")).alias("_place"))

@@ -88,6 +88,41 @@ def test_books_are_parsed_once_and_the_newest_counts(spark):
     assert sorted((r.item_type_id, r.version, r.reason) for r in books.rejected.collect()) == [(1, 3, "unreadable price"), (4, 1, "no document")]
 
 
+def test_plain_books_mean_what_the_parser_reads(spark):
+    """Plain books, cut ones and all others give the orders and the refusals that parsing each of them gives."""
+    def line(number, **values):
+        known = {"region": number, "station": 7, "station_name": "Kiln - IX", "security": "0.5", "price": "1.25", "vol_remain": 4, "min_volume": 1,
+                 "expires": "2016-01-31"} | values
+        return f'<order id="{number}">' + "".join(f"<{k}>{v}</{k}>" for k, v in known.items()) + "</order>"
+
+    book = _book([line(1), line(2)], [line(3, price="-0.999")])
+    plain = [book, _book(), _book([], [line(4)]), book.replace("><", ">\n  <") + "\n", book.replace(' id="1"', ""), book.replace("Kiln - IX", " a  $1'\" "),
+             book.replace("Kiln - IX", ""), book.replace("quicklook", "q"), _book([line(1, price="x")]), _book([line(1, price="")]),
+             _book([line(1, price="999999999999999")], [line(2, price="9999999999999999")])]
+    other = [book.replace("Kiln", "&amp;"), book.replace("Kiln", "Öl"), book.replace("Kiln", "<!-- -->"), book + "junk", book.replace("quicklook", "price"),
+             book.replace("quicklook", "orders"), book.replace("<region>2</region>", f"<region>{'9' * 19}</region>"), book.replace("<region>2</region>", ""),
+             book.replace("<price>", "<price>7</price><price>", 1), book.replace("</order>", "<x>1</x></order>"), book.replace('"1"', '"a"'), BOOK, "", "<q/>"]
+    cut = [book[:k] for k in range(11, len(book) - 11, 7)]
+    rows = [(n, 1, text) for n, text in enumerate([*plain, *other, *cut, None])]
+    docs = spark.createDataFrame(rows, "item_type_id bigint, version int, xdoc string")
+    shapes = [r.s for r in docs.select(documents._shape("xdoc").alias("s"), "item_type_id").orderBy("item_type_id").collect()]
+    assert shapes == ["plain"] * len(plain) + ["other"] * len(other) + ["endless"] * len(cut) + ["none"]
+    for sides, regions in ((("SELL", "BUY"), None), (("BUY",), None), (("SELL", "BUY"), [1, 3])):
+        books = documents.read_books(docs, version="version", sides=sides, regions=regions)
+        parsed = documents.parse_orders(docs, sides=sides, regions=regions)
+        assert rows_of(books.orders.select(*parsed.columns), "item_type_id", "order_id") == rows_of(parsed, "item_type_id", "order_id")
+        refused = documents.rejected(docs, documents.order_book(sides)).select("item_type_id", "version", "xdoc", "reason")
+        assert rows_of(books.rejected, "item_type_id") == rows_of(refused, "item_type_id")
+        assert books.items.count() + refused.count() == len(rows)
+
+
+def test_documents_are_marked_by_a_bit_each(spark):
+    numbers = [0, 1, 7, 8, 32767, 32768, (1 << 33) + 5, (3 << 33) + 40000]
+    some = spark.createDataFrame([(n,) for n in numbers[::2]], "_document bigint")
+    every = spark.createDataFrame([(n, str(n)) for n in numbers + [2, 9, 32769, 1 << 34]], "_document bigint, xdoc string")
+    assert rows_of(documents._marked(every, documents._marks(some)), "_document") == [(n, str(n)) for n in numbers[::2]]
+
+
 def test_texts_are_compared_only_where_versions_tie(spark):
     """The key of an item with one newest document is settled without its text; a null version is the lowest, a null key an item."""
     schema = "k bigint, v int, xdoc string, _document bigint"
