@@ -1,7 +1,9 @@
+import os
 from datetime import datetime
 from decimal import Decimal
 
 from millwright import Params
+from millwright.session import materialize, scratch, shared_folder
 from millwright.streaming.orders import current_aggregates, current_orders, refresh_prices
 
 NOW = datetime(2015, 3, 1)
@@ -56,3 +58,23 @@ def test_thin_folders_are_carried_over(spark, tmp_path):
     assert [(r.item_type_id, r.reason) for r in spark.read.parquet(f"{folder}/rejected").collect()] == [(4, "not well-formed")]
     assert sorted((r.part_id, r.region, r.price_average) for r in current_aggregates(spark, folder).collect()) == [
         (1, 1, 700), (2, 1, 200), (2, 2, 800), (3, 1, 300)]
+
+
+def test_a_batch_leaves_only_its_folders(spark, tmp_path):
+    """The documents, orders and figures a batch stores on its way are gone when it ends; tables stored around it stay."""
+    kept = materialize(spark.range(3), "kept")
+    shared = f"{shared_folder(spark)}/millwright"
+    before = set(os.listdir(shared))
+    with scratch(spark):
+        inner = materialize(spark.range(5), "inner")
+        assert inner.count() == 5 and len(os.listdir(shared)) == len(before) + 1
+    landed, folder = str(tmp_path / "landed"), str(tmp_path / "state")
+    schema = "item_type_id bigint, xdoc string"
+    items = spark.createDataFrame([(1, 1), (2, 2)], "item_type_id bigint, part_id bigint")
+    for rows in ([(1, book([(1, "2.00", 2)])), (2, "<quicklook>")], [(2, book([(1, "3.00", 3)]))]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landed)
+        docs = spark.readStream.schema(schema).parquet(landed)
+        refresh_prices(docs, items, folder, lambda: NOW, Decimal("0.5"), Params(notable_supply=0)).awaitTermination()
+    assert set(os.listdir(shared)) == before and kept.count() == 3
+    assert sorted((r.part_id, r.price) for r in current_orders(spark, folder).collect()) == [(1, 200), (2, 300)]
+    assert [r.xdoc for r in spark.read.parquet(f"{folder}/rejected").collect()] == ["<quicklook>"]
